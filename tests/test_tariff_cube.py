@@ -152,8 +152,6 @@ def test_forward_fill(spark):
 
 def test_code_change_applies_after_the_row_filter(spark):
     raw = [(231, 2018, 1, 729, "AHS", 1), (231, 2018, 2, 736, "AHS", 2)]
-    codes = [("AUS", 36)]
-    del codes
     stats = tariff.rate_statistics(
         spark.createDataFrame([(*r[:5], Decimal(r[5])) for r in raw], RAW), 2000, 2018
     )

@@ -178,6 +178,11 @@ def bound_statistics(bound_rates: DataFrame, listed: DataFrame) -> DataFrame:
     )
 
 
+def dimension(df: DataFrame, name: str) -> DataFrame:
+    """A country list that many joins read: written once, broadcast while it is small."""
+    return broadcast_checked(materialize(df, name))
+
+
 def number_array(df: DataFrame, column: str) -> Column:
     """All values of a country list as one array, usable in another frame's expressions."""
     return df.agg(F.array_sort(F.collect_set(column)).alias("numbers")).scalar()
@@ -312,15 +317,15 @@ def tariff_cube(
     if required is None:
         required = C.required_countries(spark)
     dictionary = C.country_dictionary(country_codes)
-    numbers = broadcast_checked(C.required_numbers(dictionary, required))
-    members = broadcast_checked(C.eu_countries(memberships, dictionary, required, first_year))
-    listed = broadcast_checked(required.where("requirement is not null").select("iso_num").distinct())
+    numbers = dimension(C.required_numbers(dictionary, required), "numbers")
+    members = dimension(C.eu_countries(memberships, dictionary, required, first_year), "members")
+    listed = dimension(required.where("requirement is not null").select("iso_num").distinct(), "listed")
 
     stats = materialize(
         rate_statistics(restrict_products(raw, products, done), first_year, last_year), "tariff-rates"
     )
     all_products = stats.select("product").distinct()
-    observed = observed_keys(stats, members, numbers)
+    observed = materialize(observed_keys(stats, members, numbers), "tariff-observed")
     years = _reporter_years(
         all_products, stats, observed, bound_statistics(bound_rates, listed), members, numbers, listed,
         (first_year, last_year),

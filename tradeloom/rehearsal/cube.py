@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tradeloom.plans import countries as C
 from tradeloom.plans import tariff
 from tradeloom.rehearsal.registry import Tables, query
-from tradeloom.session import broadcast_checked, materialize
+from tradeloom.session import materialize
 
 YEARS = (1995, 2001)
 
@@ -201,8 +201,8 @@ def tariff_cube_duplicates(t: Tables) -> DataFrame:
 
 def _relations(t: Tables):
     dictionary = C.country_dictionary(country_codes(t))
-    numbers = broadcast_checked(C.required_numbers(dictionary, required(t)))
-    members = broadcast_checked(C.eu_countries(memberships(t), dictionary, required(t), YEARS[0]))
+    numbers = tariff.dimension(C.required_numbers(dictionary, required(t)), "numbers")
+    members = tariff.dimension(C.eu_countries(memberships(t), dictionary, required(t), YEARS[0]), "members")
     stats = materialize(tariff.rate_statistics(raw_tariffs_with_duplicates(t), *YEARS), "tariff-rates")
     return stats, members, numbers
 
