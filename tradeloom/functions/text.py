@@ -125,9 +125,15 @@ def clean_value(text: Column) -> Column:
 
 
 def name_date(name: Column, pattern: str, date_format: str, group: int = 1) -> Column:
-    """Date found in a file name by ``pattern``; month names match in any case."""
+    """Date found in a file name by ``pattern``; month names match in any case.
+
+    Two-digit years from 69 on belong to the last century.
+    """
     found = F.nullif(F.regexp_extract(name, pattern, group), F.lit(""))
-    return F.try_to_timestamp(F.initcap(found), F.lit(date_format)).cast("date")
+    date = F.try_to_timestamp(F.initcap(found), F.lit(date_format)).cast("date")
+    if date_format.count("y") == 2:
+        return F.when(F.year(date) >= 2069, F.add_months(date, -1200)).otherwise(date)
+    return date
 
 
 def dated_name(date: Column, date_format: str, prefix: str = "", suffix: str = "", upper: bool = False) -> Column:
