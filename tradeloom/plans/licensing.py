@@ -19,7 +19,7 @@ class LoadRejected(ValueError):
 
 def _table(name: str, columns: str, key: str, checks: dict[str, str] | None = None, refs: dict[str, str] | None = None) -> TableRules:
     schema, required = [], []
-    for item in columns.split(","):
+    for item in columns.split(", "):
         column, kind = item.split()
         schema.append(f"`{column}` {kind.rstrip('!')}")
         if kind.endswith("!"):
