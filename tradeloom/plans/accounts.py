@@ -185,21 +185,19 @@ def read_elements(documents: DataFrame) -> DataFrame:
     return documents.select("document", "content").mapInPandas(parse, ELEMENT_SCHEMA)
 
 
-def typed_value(kind: Column, text: Column, sign: Column, scale: Column) -> Column:
-    """The value as text in the form of its type; blank, ``-`` and unreadable values are NULL."""
-    clean = X.clean_value(text)
-    shown = clean.isNotNull()
-    number = X.scaled_number(clean, sign, scale).cast("decimal(38,6)").cast("string")
-    prefixed = X.scaled_number(clean, sign, scale, strip_prefix=True).cast("decimal(38,6)").cast("string")
-    value = (
-        F.when(kind == "number", number)
-        .when(kind == "prefixed", prefixed)
-        .when(kind == "date", X.free_date(clean).cast("string"))
+def typed_text(kind: Column, clean: Column) -> Column:
+    """A cleaned value of a text, date or yes/no type in its standard spelling; unreadable values are NULL."""
+    return (
+        F.when(kind == "date", X.free_date(clean).cast("string"))
         .when(kind == "bool", X.strict_bool(clean).cast("string"))
         .when(kind == "reversed bool", X.strict_bool(clean, reverse=True).cast("string"))
-        .otherwise(clean)
+        .when(kind == "text", clean)
     )
-    return F.when(shown, value)
+
+
+def typed_number(kind: Column, clean: Column, sign: Column, scale: Column) -> Column:
+    bare = F.when(kind == "prefixed", F.regexp_replace(clean, ".*: ", "")).when(kind == "number", clean)
+    return X.scaled_number(bare, sign, scale).cast(SQL_TYPES["number"])
 
 
 def candidate_values(elements: DataFrame, rules: DataFrame) -> DataFrame:
@@ -210,7 +208,7 @@ def candidate_values(elements: DataFrame, rules: DataFrame) -> DataFrame:
         "context",
         "sign",
         "scale",
-        "text",
+        X.clean_value(F.col("text")).alias("clean"),
         F.explode(
             F.when(F.col("kind") == "span", F.array(F.struct(F.lit("span").alias("source"), F.col("tag").alias("name"))))
             .otherwise(
@@ -229,7 +227,8 @@ def candidate_values(elements: DataFrame, rules: DataFrame) -> DataFrame:
         .where(F.col("unwanted").isNull() | ~F.contains(context, F.col("unwanted")))
         .select(
             "doc", "position", "context", "attribute", "general", "priority",
-            typed_value(F.col("type"), F.col("text"), F.col("sign"), F.col("scale")).alias("value"),
+            typed_text(F.col("type"), F.col("clean")).alias("value"),
+            typed_number(F.col("type"), F.col("clean"), F.col("sign"), F.col("scale")).alias("number"),
         )
     )
 
@@ -239,21 +238,26 @@ def period_values(candidates: DataFrame, contexts: DataFrame, attributes: list[s
 
     A period exists as soon as a rule's element refers to it, even when the value is blank.
     """
-    order = F.when(F.col("value").isNotNull(), F.struct("priority", "position"))
-    return (
+    usable = F.when(F.col("number").isNotNull(), F.struct("priority", "position"))
+    period = ["doc", "period_start", "period_end"]
+    best = (
         candidates.where(~F.col("general"))
         .join(contexts, ["doc", "context"])
-        .groupBy("doc", "period_start", "period_end")
-        .agg(*[F.min_by("value", F.when(F.col("attribute") == a, order)).alias(a) for a in attributes])
+        .groupBy(*period, "attribute")
+        .agg(F.min_by("number", usable).alias("number"))
+    )
+    return best.groupBy(*period).agg(
+        *[F.max(F.when(F.col("attribute") == a, F.col("number"))).alias(a) for a in attributes]
     )
 
 
 def general_values(candidates: DataFrame, attributes: list[str]) -> DataFrame:
     """One row per document: the first rule whose last element is usable."""
+    value = F.coalesce("value", F.col("number").cast("string"))
     last = (
         candidates.where("general")
         .groupBy("doc", "attribute", "priority")
-        .agg(F.max_by("value", "position").alias("value"))
+        .agg(F.max_by(value, "position").alias("value"))
         .where("value is not null")
     )
     return last.groupBy("doc").agg(
@@ -289,7 +293,7 @@ def accounts_rows(elements: DataFrame, rules: DataFrame) -> DataFrame:
             F.to_date(F.trim("period_start")).alias("period_start"),
             F.to_date(F.trim("period_end")).alias("period_end"),
             *[F.col(c).cast(SQL_TYPES[kind]).alias(c) for c, (kind, _) in GENERAL_RULES.items()],
-            *[F.col(c).cast(SQL_TYPES["number"]).alias(c) for c in PERIOD_RULES],
+            *[F.col(c) for c in PERIOD_RULES],
         )
     )
 

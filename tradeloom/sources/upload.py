@@ -85,31 +85,35 @@ def read_upload(spark: SparkSession, path: str, sep: str = ",", quote: str = '"'
     return rows.select([blank(c).alias(c) for c in kept])
 
 
-def fits(text: Column, type_name: str) -> Column:
-    """Whether a non-blank text is a value of the type; dates must exist in the calendar."""
-    shaped = text.rlike(TYPE_PATTERNS[type_name])
-    if type_name in ("date", "timestamp"):
-        day = F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd"))
-        return shaped & day.isNotNull()
-    return shaped
+# One bit per type; an integer is also a numeric, so a column of both is numeric.
+TYPE_BITS = {name: 1 << i for i, name in enumerate(TYPE_PATTERNS)}
+
+
+def fitting_types(text: Column) -> Column:
+    """Bits of the types a text fits. Patterns are tried in order and at most one is evaluated in full;
+    dates must exist in the calendar."""
+    day_exists = F.try_to_timestamp(F.substring(text, 1, 10), F.lit("yyyy-MM-dd")).isNotNull()
+    bits = F.lit(0)
+    for name in reversed(TYPE_PATTERNS):
+        fits = text.rlike(TYPE_PATTERNS[name])
+        if name in ("date", "timestamp"):
+            fits = fits & day_exists
+        value = TYPE_BITS[name] | (TYPE_BITS["numeric"] if name == "integer" else 0)
+        bits = F.when(fits, F.lit(value)).otherwise(bits)
+    return F.when(text.isNotNull(), bits)
 
 
 def infer_types(rows: DataFrame) -> DataFrame:
     """``(position, column, type)``: the first type that every non-blank value fits, in one aggregation."""
     texts = rows.select([F.nullif(F.trim(F.col(c).cast("string")), F.lit("")).alias(c) for c in rows.columns])
-    verdicts = texts.agg(
-        *[
-            F.struct(
-                F.count(c).alias("n"), *[F.bool_and(fits(F.col(c), t)).alias(t) for t in TYPE_PATTERNS]
-            ).alias(c)
-            for c in rows.columns
-        ]
+    common = texts.select([fitting_types(F.col(c)).alias(c) for c in rows.columns]).agg(
+        *[F.bit_and(c).alias(c) for c in rows.columns]
     )
 
     def choose(c: str) -> Column:
         chosen = F.lit("text")
-        for t in reversed(TYPE_PATTERNS):
-            chosen = F.when(F.col(f"{c}.{t}"), F.lit(t)).otherwise(chosen)
+        for name in reversed(TYPE_PATTERNS):
+            chosen = F.when(F.col(c).bitwiseAND(TYPE_BITS[name]) != 0, F.lit(name)).otherwise(chosen)
         return chosen
 
     described = F.array(
@@ -118,7 +122,7 @@ def infer_types(rows: DataFrame) -> DataFrame:
             for i, c in enumerate(rows.columns, 1)
         ]
     )
-    return verdicts.select(F.inline(described))
+    return common.select(F.inline(described))
 
 
 def sample_values(rows: DataFrame, n: int = SAMPLE_ROWS, order_by: str | None = None) -> DataFrame:
