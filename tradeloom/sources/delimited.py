@@ -82,7 +82,7 @@ def read_by_name(
 def model_cell(text, dtype: T.DataType, null_tokens: list[str] = TABLE_NULL_TOKENS):
     value = null_if_token(text, null_tokens)
     if isinstance(dtype, T.TimestampType):
-        return F.to_timestamp(value, F.lit("yyyy-M-d H:mm:ss"))
+        return F.to_timestamp(value, "yyyy-M-d H:mm:ss")
     return value.cast(dtype)
 
 

@@ -128,11 +128,11 @@ def infer_types(rows: DataFrame) -> DataFrame:
 def sample_values(rows: DataFrame, n: int = SAMPLE_ROWS, order_by: str | None = None) -> DataFrame:
     """``(column, samples)``: the first ``n`` values of every column."""
     first = (rows.orderBy(order_by) if order_by else rows).limit(n)
-    place = F.col(order_by) if order_by else F.monotonically_increasing_id()
-    packed = first.agg(
+    placed = first.withColumn("_at", F.col(order_by) if order_by else F.monotonically_increasing_id())
+    packed = placed.agg(
         *[
             F.transform(
-                F.array_sort(F.collect_list(F.struct(place.alias("at"), F.col(c).cast("string").alias("v")))),
+                F.array_sort(F.collect_list(F.struct("_at", F.col(c).cast("string").alias("v")))),
                 lambda s: s["v"],
             ).alias(c)
             for c in rows.columns
