@@ -81,7 +81,7 @@ def test_postcode_directory(store, tmp_path):
 def test_archive_without_the_wanted_member(store, tmp_path):
     path = tmp_path / "wrong.zip"
     path.write_bytes(zipped(**{"Data/other.csv": "a,b"}))
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(Exception, match="no file in wrong.zip matches"):
         ingest.load_file(D.POSTCODE_DIRECTORY, store, str(path))
 
 

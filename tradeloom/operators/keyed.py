@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tradeloom.session import broadcast_checked
+from tradeloom.session import broadcast_checked, materialize
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -68,11 +68,11 @@ def forward_fill_fused(rows: DataFrame, keys: list[str], step: str, values: list
 def distinct_with_group_mean(rows: DataFrame, group: list[str], value: str, name: str) -> DataFrame:
     """Distinct rows with the mean of ``value`` in their group, duplicates counted in the mean.
 
-    Copies collapse into a count first. The means are one row per group, so they join by broadcast while
-    there are few groups; no group is ever gathered in one task.
+    Copies collapse into a count first, which is written once as two branches read it. The means are one
+    row per group, so they join by broadcast while there are few groups; no group is ever gathered in one task.
     """
     columns = rows.columns
-    counted = rows.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    counted = materialize(rows.groupBy(*columns).agg(F.count("*").alias("_copies")), "counted-rows")
     means = counted.groupBy(*group).agg(
         (
             F.sum(F.col(value) * F.col("_copies"))

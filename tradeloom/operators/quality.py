@@ -78,8 +78,13 @@ def cast_failures(rows: DataFrame, types: Mapping[str, str], key: list[str]) ->
     return rows.select(*key, F.explode(F.array_compact(F.array(*failed))).alias("cell")).select(*key, "cell.*")
 
 
-def table_report(rows: DataFrame, rules: TableRules, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Everything that is wrong with a table: ``(table, kind, rule, key, n_rows)``."""
+def table_report(
+    rows: DataFrame, rules: TableRules, tables: Mapping[str, DataFrame], existing: DataFrame | None = None
+) -> DataFrame:
+    """Everything that is wrong with a table: ``(table, kind, rule, key, n_rows)``.
+
+    Rows that are to be added to ``existing`` are checked alone; only their keys are looked up in it.
+    """
     key = list(rules.primary_key)
     key_text = F.to_json(F.struct(*key), {"ignoreNullFields": "false"})
 
@@ -89,6 +94,9 @@ def table_report(rows: DataFrame, rules: TableRules, tables: Mapping[str, DataFr
         )
 
     report = lines(duplicate_keys(rows, key), "primary key", F.lit(", ".join(key)), key_text, F.col("n_rows"))
+    if existing is not None:
+        taken = rows.select(key).join(existing.select(key), key, "left_semi")
+        report = report.unionByName(lines(taken, "primary key", F.lit(", ".join(key)), key_text))
     if rules.checks:
         report = report.unionByName(
             lines(check_violations(rows, rules.checks, key), "check", F.col("rule"), key_text)

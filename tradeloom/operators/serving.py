@@ -58,11 +58,14 @@ def keyset_page(table: DataFrame, next_id: int = 0, size: int = PAGE_SIZE, id_co
 
     The scan skips lower ids and every task keeps only its first ``size + 1`` rows.
     """
-    ids = F.col(id_column)
-    reach = table.where(ids >= next_id).orderBy(id_column).limit(size + 1)
-    last = reach.agg(F.count("*").alias("n"), F.max(id_column).alias("last"))
-    following = last.select(F.when(F.col("n") > size, F.col("last"))).scalar()
-    return reach.withColumn("next_id", following).where(F.col("next_id").isNull() | (ids < F.col("next_id")))
+    reach = table.where(F.col(id_column) >= next_id).orderBy(id_column).limit(size + 1)
+    # The window sees the page only: at most ``size + 1`` rows.
+    page = W.orderBy(id_column).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    more = F.count("*").over(page) > size
+    return (
+        reach.withColumn("next_id", F.when(more, F.max(id_column).over(page)))
+        .where(F.col("next_id").isNull() | (F.col(id_column) < F.col("next_id")))
+    )
 
 
 def assign_pages(table: DataFrame, size: int = PAGE_SIZE, id_column: str = "id", width: int = 100_000) -> DataFrame:

@@ -10,7 +10,7 @@ from tradeloom.functions import text as X
 from tradeloom.operators.keyed import latest_revision
 from tradeloom.operators.lifecycle import unpivot_years
 from tradeloom.plans.accounts import ACCOUNTS_SCHEMA, read_accounts
-from tradeloom.sources.archives import archive_lines, member_date, require_member, tab_fields
+from tradeloom.sources.archives import archive_lines, member_date, tab_fields
 from tradeloom.sources.delimited import read_delimited, read_without_empty_quotes
 from tradeloom.spec import INCREMENTAL, SNAPSHOT, DatasetSpec
 
@@ -64,7 +64,7 @@ lsoa11 msoa11 wz11 ccg bua11 buasd11 ru11ind oac11 lat long lep1 lep2 pfa imd ca
 
 def read_postcodes(spark: SparkSession, path: str) -> DataFrame:
     """Lines of the one member named for its month; quotes around cells are optional."""
-    rows = require_member(archive_lines(spark, path), POSTCODE_MEMBER)
+    rows = archive_lines(spark, path, wanted=POSTCODE_MEMBER)
     schema = T.StructType.fromDDL(texts(POSTCODE_FIELDS))
     cells = F.from_csv("line", schema.simpleString()[len("struct<") : -1].replace(":", " "), {"quote": '"', "escape": '"'})
     parsed = rows.withColumn("cells", cells).where(F.lower("cells.pcd") != "pcd")

@@ -253,7 +253,7 @@ def load_table(spark: SparkSession, store: LayerStore, name: str, path: str, hea
     rows = read_by_name(spark, path, rules.schema, header_map)
     existing = store.read_or_empty(name, rules.schema)
     parents = {fk.parent: store.read_or_empty(fk.parent, BY_NAME[fk.parent].schema) for fk in rules.foreign_keys}
-    report = table_report(existing.unionByName(rows), rules, parents)
+    report = table_report(rows, rules, parents, existing)
     problems = report.limit(5).collect()
     if problems:
         shown = "; ".join(f"{p.kind} ({p.rule}) at {p.key}" for p in problems)

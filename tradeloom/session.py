@@ -59,7 +59,7 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     """Mark ``df`` for broadcast only when it is known to be small.
 
     The count stops after ``max_rows + 1`` rows. A larger side is returned without the hint, so the
-    join falls back to a shuffle.
+    join falls back to a shuffle. Give it a table or something materialized, not a query that would run twice.
     """
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)

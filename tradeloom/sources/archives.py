@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -16,15 +17,15 @@ BATCH_LINES = 20_000
 
 def members(content: bytes) -> Iterator[tuple[str, Callable[[], io.BufferedIOBase]]]:
     """Files of an archive; of a nested archive only its first file is used."""
-    with zipfile.ZipFile(io.BytesIO(content)) as outer:
-        for name in outer.namelist():
-            if name.endswith("/"):
-                continue
-            if name.endswith(".zip"):
-                inner = zipfile.ZipFile(io.BytesIO(outer.read(name)))
-                yield f"{name}/{inner.namelist()[0]}", lambda z=inner: z.open(z.namelist()[0])
-            else:
-                yield name, lambda n=name: outer.open(n)
+    outer = zipfile.ZipFile(io.BytesIO(content))
+    for name in outer.namelist():
+        if name.endswith("/"):
+            continue
+        if name.endswith(".zip"):
+            inner = zipfile.ZipFile(io.BytesIO(outer.read(name)))
+            yield f"{name}/{inner.namelist()[0]}", lambda z=inner: z.open(z.namelist()[0])
+        else:
+            yield name, lambda n=name: outer.open(n)
 
 
 def _archives(spark: SparkSession, path: str) -> DataFrame:
@@ -33,13 +34,22 @@ def _archives(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def archive_lines(spark: SparkSession, path: str, charset: str = "utf-8") -> DataFrame:
-    """``(file, member, line)`` for every text line of every archive under ``path``."""
+def archive_lines(spark: SparkSession, path: str, charset: str = "utf-8", wanted: str | None = None) -> DataFrame:
+    """``(file, member, line)`` for every text line of every archive under ``path``.
+
+    With ``wanted`` only members whose path matches are opened, and an archive without one fails the read.
+    """
+
+    def chosen(file: str, content: bytes):
+        found = [(m, opened) for m, opened in members(content) if wanted is None or re.search(wanted, m)]
+        if wanted is not None and not found:
+            raise FileNotFoundError(f"no file in {file} matches {wanted}")
+        return found
 
     def read(batches):
         for batch in batches:
             for file, content in zip(batch["file"], batch["content"]):
-                for member, opened in members(content):
+                for member, opened in chosen(file, content):
                     with opened() as handle:
                         text = io.TextIOWrapper(handle, encoding=charset, newline=None)
                         lines: list[str] = []
@@ -89,11 +99,3 @@ def member_date(member: Column, pattern: str, date_format: str) -> Column:
     found = F.regexp_extract(member, pattern, 1)
     return F.when(member.rlike(pattern), F.try_to_timestamp(F.initcap(found), F.lit(date_format)).cast("date"))
 
-
-def require_member(rows: DataFrame, pattern: str) -> DataFrame:
-    """Rows of the matching member; an archive without one is an error when its rows are read."""
-    wanted = F.col("member").rlike(pattern)
-    missing = rows.groupBy("file").agg(F.max(wanted).alias("found")).where(~F.col("found")).first()
-    if missing is not None:
-        raise FileNotFoundError(f"no file in {missing.file} matches {pattern}")
-    return rows.where(wanted)

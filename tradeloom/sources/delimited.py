@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from tradeloom.functions.charset import from_latin
 from tradeloom.functions.text import TABLE_NULL_TOKENS, null_if_token
+from tradeloom.session import broadcast_checked, materialize
 
 LATIN = "ISO-8859-1"
 
@@ -75,8 +77,11 @@ def read_by_name(
     unknown = [c for c in texts.columns if c not in struct.fieldNames()]
     if unknown:
         raise KeyError(f"unknown columns: {', '.join(unknown)}")
-    return texts.select([model_cell(F.col(f.name), f.dataType, null_tokens).alias(f.name) if f.name in texts.columns
-                         else F.lit(None).cast(f.dataType).alias(f.name) for f in struct])
+    cells = [
+        model_cell(F.col(f.name) if f.name in texts.columns else F.lit(None).cast("string"), f.dataType, null_tokens)
+        for f in struct
+    ]
+    return texts.select([cell.alias(f.name) for cell, f in zip(cells, struct)])
 
 
 def model_cell(text, dtype: T.DataType, null_tokens: list[str] = TABLE_NULL_TOKENS):
@@ -92,10 +97,6 @@ def file_lines(spark: SparkSession, path: str) -> DataFrame:
     Blocks of a file are counted separately and their starts summed up, so a large file is still read by
     many tasks. The lines are not sorted.
     """
-    from pyspark.sql import Window as W
-
-    from tradeloom.session import broadcast_checked
-
     lines = spark.read.text(path).select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("file"),
@@ -107,7 +108,7 @@ def file_lines(spark: SparkSession, path: str) -> DataFrame:
     starts = blocks.select(
         "file", "block", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) + 1 - F.col("first")).alias("shift")
     )
-    return lines.join(broadcast_checked(starts), ["file", "block"]).select(
+    return lines.join(broadcast_checked(materialize(starts, "block-starts")), ["file", "block"]).select(
         "file", "block", (F.col("position") + F.col("shift")).alias("line_number"), "line"
     )
 
