@@ -81,6 +81,15 @@ def test_other_delimiters(spark, write):
     assert tuple(rows.first()) == ("1;x", "2")
 
 
+def test_line_breaks_inside_quotes(spark, write):
+    rows = U.read_upload(spark, write('a,b\n1,"x\ny"\n2,z\n'), multi_line=True)
+    assert sorted(tuple(r) for r in rows.collect()) == [("1", "x\ny"), ("2", "z")]
+    with pytest.raises(U.UploadError, match=r"row 3 has a different number of data points \(3\)"):
+        U.read_upload(spark, write('a,b\n1,"x\ny"\n2,"z\n,",3\n'), multi_line=True)
+    with pytest.raises(U.UploadError, match=r"row 2 has a different number of data points \(1\)"):
+        U.read_upload(spark, write('a,b\n1\n2,z\n'), multi_line=True)
+
+
 def test_column_comparison():
     assert U.missing_columns(["a", "b", "c"], ["b"]) == ["a", "c"]
     assert U.reserved_columns(["id", "x", "data_source_row_id"]) == ["id", "data_source_row_id"]

@@ -79,4 +79,7 @@ def distinct_with_group_mean(rows: DataFrame, group: list[str], value: str, name
             / F.nullif(F.sum(F.when(F.col(value).isNotNull(), F.col("_copies"))), F.lit(0))
         ).alias(name)
     )
-    return counted.drop("_copies").join(broadcast_checked(means), group, "left")
+    means = means.withColumnsRenamed({g: f"_{g}" for g in group})
+    # Rows without a group value form a group too.
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
+    return counted.join(broadcast_checked(means), same, "left").select(*columns, name)

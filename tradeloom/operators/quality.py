@@ -59,11 +59,11 @@ def orphans(child: DataFrame, columns: list[str], parent: DataFrame, parent_colu
     """Foreign key values without a parent, with the number of rows that use them.
 
     A key with an empty column refers to nothing and passes. Values are counted before the join, so a
-    value used by most rows reaches it once.
+    value used by most rows reaches it once; so does a parent value that is repeated.
     """
     used = child.dropna(subset=columns).groupBy(*columns).agg(F.count("*").alias("n_rows"))
     targets = parent.select(*[F.col(p).alias(c) for c, p in zip(columns, parent_columns)])
-    return used.join(targets, columns, "left_anti")
+    return used.join(targets.distinct(), columns, "left_anti")
 
 
 def cast_failures(rows: DataFrame, types: Mapping[str, str], key: list[str]) -> DataFrame:
@@ -88,27 +88,30 @@ def table_report(
     key = list(rules.primary_key)
     key_text = F.to_json(F.struct(*key), {"ignoreNullFields": "false"})
 
-    def lines(found: DataFrame, kind: str, rule, at, n=F.lit(1).cast("bigint")) -> DataFrame:
+    def lines(found: DataFrame, kind, rule, at, n=F.lit(1).cast("bigint")) -> DataFrame:
         return found.select(
-            F.lit(rules.name).alias("table"), F.lit(kind).alias("kind"), rule.alias("rule"), at.alias("key"), n.alias("n_rows")
+            F.lit(rules.name).alias("table"), kind.alias("kind"), rule.alias("rule"), at.alias("key"), n.alias("n_rows")
         )
 
-    report = lines(duplicate_keys(rows, key), "primary key", F.lit(", ".join(key)), key_text, F.col("n_rows"))
+    report = lines(duplicate_keys(rows, key), F.lit("primary key"), F.lit(", ".join(key)), key_text, F.col("n_rows"))
     if existing is not None:
         taken = rows.select(key).join(existing.select(key), key, "left_semi")
-        report = report.unionByName(lines(taken, "primary key", F.lit(", ".join(key)), key_text))
-    if rules.checks:
-        report = report.unionByName(
-            lines(check_violations(rows, rules.checks, key), "check", F.col("rule"), key_text)
-        )
-    if rules.not_null:
-        report = report.unionByName(
-            lines(not_null_violations(rows, list(rules.not_null), key), "not null", F.col("column"), key_text)
-        )
+        report = report.unionByName(lines(taken, F.lit("primary key"), F.lit(", ".join(key)), key_text))
+    # Checks and required columns look at single rows: one pass for all of them.
+    broken = [
+        F.when(~F.expr(condition), F.struct(F.lit("check").alias("kind"), F.lit(rule).alias("rule")))
+        for rule, condition in rules.checks.items()
+    ] + [
+        F.when(F.col(c).isNull(), F.struct(F.lit("not null").alias("kind"), F.lit(c).alias("rule")))
+        for c in rules.not_null
+    ]
+    if broken:
+        found = rows.select(*key, F.explode(F.array_compact(F.array(*broken))).alias("found"))
+        report = report.unionByName(lines(found, F.col("found.kind"), F.col("found.rule"), key_text))
     for fk in rules.foreign_keys:
         columns = list(fk.columns)
         found = orphans(rows, columns, tables[fk.parent], list(fk.parent_columns))
         rule = F.lit(f"{', '.join(columns)} -> {fk.parent}")
         at = F.to_json(F.struct(*columns))
-        report = report.unionByName(lines(found, "foreign key", rule, at, F.col("n_rows")))
+        report = report.unionByName(lines(found, F.lit("foreign key"), rule, at, F.col("n_rows")))
     return report

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tradeloom.functions.text import camel_case, postcode_key
+from tradeloom.session import materialize
 
 PAGE_SIZE = 1000
 
@@ -79,7 +80,7 @@ def assign_pages(table: DataFrame, size: int = PAGE_SIZE, id_column: str = "id",
     rows = table.withColumns(
         {"_range": F.floor(F.col(id_column) / width), "_wide": F.floor(F.col(id_column) / wide)}
     )
-    counts = rows.groupBy("_wide", "_range").agg(F.count("*").alias("n"))
+    counts = materialize(rows.groupBy("_wide", "_range").agg(F.count("*").alias("n")), "id-ranges")
     before = W.orderBy("_wide").rowsBetween(W.unboundedPreceding, -1)
     before_range = W.partitionBy("_wide").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     wide_start = counts.groupBy("_wide").agg(F.sum("n").alias("n")).select(

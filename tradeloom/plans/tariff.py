@@ -44,6 +44,11 @@ MEASURES = [
 CUBE_COLUMNS = ["product", "reporter", "partner", "year", *MEASURES]
 
 
+def dimension(df: DataFrame, name: str) -> DataFrame:
+    """A short list that joins read: written once, broadcast while it is small."""
+    return broadcast_checked(materialize(df, name))
+
+
 def parse_products(option: str | None) -> list[int] | None:
     """``'201,401'`` to a list; anything that is not all integers means no restriction."""
     if not option:
@@ -61,7 +66,7 @@ def restrict_products(
     if products is not None:
         df = df.where(F.col("product").isin(list(products)))
     if done is not None:
-        df = df.join(done.select("product").distinct(), "product", "left_anti")
+        df = df.join(dimension(done.select("product").distinct(), "finished"), "product", "left_anti")
     return df
 
 
@@ -178,11 +183,6 @@ def bound_statistics(bound_rates: DataFrame, listed: DataFrame) -> DataFrame:
     )
 
 
-def dimension(df: DataFrame, name: str) -> DataFrame:
-    """A country list that many joins read: written once, broadcast while it is small."""
-    return broadcast_checked(materialize(df, name))
-
-
 def number_array(df: DataFrame, column: str) -> Column:
     """All values of a country list as one array, usable in another frame's expressions."""
     return df.agg(F.array_sort(F.collect_set(column)).alias("numbers")).scalar()

@@ -404,7 +404,7 @@ def schema_missing_columns(t: Tables) -> DataFrame:
     newest = t.events.where("ts >= timestamp '2024-01-20'").select(
         F.col("user_id").alias("upload"), F.col("event_type").alias("missing")
     )
-    return columns.distinct().join(newest, ["upload", "missing"], "left_anti")
+    return columns.distinct().join(newest.distinct(), ["upload", "missing"], "left_anti")
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeloom.functions.text import IDENTIFIER, remove_null_tokens
-from tradeloom.sources.delimited import file_lines, ragged_rows
+from tradeloom.sources.delimited import cell_count, file_lines, ragged_rows
 from tradeloom.spec import RESERVED_COLUMNS, UPLOAD_TYPES
 
 SAMPLE_ROWS = 4
@@ -60,26 +60,62 @@ def read_header(spark: SparkSession, path: str, sep: str = ",", quote: str = '"'
     return [] if not first else [(cell or "").strip() for cell in first[0]]
 
 
-def read_upload(spark: SparkSession, path: str, sep: str = ",", quote: str = '"', whole_cell: bool = False) -> DataFrame:
-    """Checked text columns of an upload: ragged rows fail, null tokens are blank, unnamed columns are ignored."""
+def first_ragged(spark: SparkSession, path: str, n_columns: int, sep: str, quote: str, multi_line: bool):
+    """``(line_number, n_cells)`` of the first row whose number of cells differs from the header's, or ``None``.
+
+    A row with line breaks inside quotes only exists for the reader, so such files are numbered by record.
+    """
+    if multi_line:
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(n_columns)])
+        reader = _reader(spark, schema.add("_broken", T.StringType()), sep, quote, multi_line)
+        records = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_broken").csv(path)
+        numbered = records.select("*", (F.monotonically_increasing_id() + 2).alias("line_number"))
+        # Every column stays in the result: a pruned column would not be parsed, and its absence not noticed.
+        bad = numbered.where("_broken is not null")
+        return bad.withColumn("n_cells", cell_count(F.col("_broken"), sep, quote)).orderBy("line_number").first()
+    lines = spark.read.text(path).where("value <> ''").withColumnRenamed("value", "line")
+    if ragged_rows(lines, n_columns, sep, quote).isEmpty():
+        return None
+    numbered = file_lines(spark, path).where("line <> ''")
+    return ragged_rows(numbered, n_columns, sep, quote).orderBy("line_number").first()
+
+
+def _reader(spark: SparkSession, schema: T.StructType, sep: str, quote: str, multi_line: bool):
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("enforceSchema", True)
+        .option("sep", sep)
+        .option("quote", quote)
+        .option("escape", quote)
+        .option("emptyValue", "")
+        .option("multiLine", multi_line)
+    )
+
+
+def read_upload(
+    spark: SparkSession,
+    path: str,
+    sep: str = ",",
+    quote: str = '"',
+    whole_cell: bool = False,
+    multi_line: bool = False,
+) -> DataFrame:
+    """Checked text columns of an upload: ragged rows fail, null tokens are blank, unnamed columns are ignored.
+
+    With ``multi_line`` quoted cells may contain line breaks; such a file is then read by one task.
+    """
     headers = read_header(spark, path, sep, quote)
     check_headers(headers)
-    ragged = ragged_rows(spark.read.text(path).withColumnRenamed("value", "line"), len(headers), sep, quote)
-    if not ragged.isEmpty():
-        bad = ragged_rows(file_lines(spark, path), len(headers), sep, quote).orderBy("line_number").first()
+    bad = first_ragged(spark, path, len(headers), sep, quote, multi_line)
+    if bad is not None:
         raise UploadError(
             f"row {bad.line_number} has a different number of data points ({bad.n_cells}) than there are column "
             f"headers ({len(headers)})"
         )
     names = unique_headers([h or f"unnamed{i}" for i, h in enumerate(headers)])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True).option("enforceSchema", True)
-        .option("sep", sep).option("quote", quote).option("escape", quote)
-        .option("emptyValue", "").option("mode", "FAILFAST")
-        .csv(path)
-    )
+    rows = _reader(spark, schema, sep, quote, multi_line).option("mode", "FAILFAST").csv(path)
     kept = [n for n, h in zip(names, headers) if h]
     blank = lambda c: remove_null_tokens(F.coalesce(F.col(c), F.lit("")), whole_cell=whole_cell)
     return rows.select([blank(c).alias(c) for c in kept])
