@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -16,9 +17,11 @@ IDENTIFIER = "^[a-z][a-z0-9_]*$"
 DATASET_NAME = r"^[a-zA-Z0-9_\.]+$"
 ACCOUNTS_DOCUMENT = r"^(Prod\d+_\d+)_([^_]+)_(\d{8})\.(html|xml)"
 
+# Spellings of a date, tried in order: numbers are month first unless that gives no date.
 DATE_FORMATS = [
-    "yyyy-MM-dd", "yyyyMMdd", "d MMMM yyyy", "d MMM yyyy", "MMMM d, yyyy", "MMM d, yyyy",
-    "d/M/yyyy", "d.M.yyyy", "d-M-yyyy",
+    "yyyy-M-d", "yyyyMMdd", "yyyy/M/d", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss",
+    "d MMMM yyyy", "d MMM yyyy", "d MMMM, yyyy", "MMMM d, yyyy", "MMMM d yyyy", "MMM d, yyyy", "MMM d yyyy",
+    "d-MMM-yyyy", "M/d/yyyy", "d/M/yyyy", "M.d.yyyy", "d.M.yyyy", "M-d-yyyy", "d-M-yyyy", "M/d/yy", "d/M/yy",
 ]
 
 
@@ -107,9 +110,26 @@ def scaled_number(text: Column, sign: Column, scale: Column, strip_prefix: bool
 
 
 def free_date(text: Column, formats: list[str] = DATE_FORMATS) -> Column:
-    """First format that fits, as a date."""
-    tidy = F.initcap(F.trim(text))
-    return F.coalesce(*[F.try_to_timestamp(tidy, F.lit(f)) for f in formats]).cast("date")
+    """First format that fits, as a date. Weekdays and the endings of ordinal numbers are ignored."""
+    plain = F.regexp_replace(F.trim(text), r"(?i)^[a-z]+day,?\s+|(?<=\d)(st|nd|rd|th)\b", "")
+    tidy = F.initcap(plain)
+    # A format is only tried on text of its shape: a failed attempt costs far more than the pattern.
+    tries = [F.when(tidy.rlike(date_shape(f)), F.try_to_timestamp(tidy, F.lit(f))) for f in formats]
+    return F.coalesce(*tries).cast("date")
+
+
+def date_shape(date_format: str) -> str:
+    """Pattern of the texts that a date format can read."""
+    pieces = {"yyyy": r"\d{4}", "yy": r"\d{2}", "MMMM": "[A-Za-z]+", "MMM": "[A-Za-z]{3}", "d": r"\d{1,2}", "M": r"\d{1,2}"}
+    parts = []
+    for token in (m.group(0) for m in re.finditer(r"'[^']*'|([A-Za-z])\1*|.", date_format)):
+        if token.startswith("'"):
+            parts.append(re.escape(token.strip("'")))
+        elif token[0].isalpha():
+            parts.append(pieces.get(token, rf"\d{{{len(token)}}}"))
+        else:
+            parts.append(re.escape(token))
+    return f"^{''.join(parts)}$"
 
 
 def strict_bool(text: Column, reverse: bool = False) -> Column:

@@ -151,7 +151,7 @@ def scaled_number(t: Tables) -> DataFrame:
 @query("multi_format_date", "SELECT o_orderkey, CASE WHEN o_orderkey % 8 <> 7 THEN CAST(o_orderdate AS DATE) END AS day FROM orders")
 def multi_format_date(t: Tables) -> DataFrame:
     """Seven spellings and one that is no date."""
-    formats = ["yyyy-MM-dd", "yyyyMMdd", "d MMMM yyyy", "d MMM yyyy", "MMMM d, yyyy", "d/M/yyyy", "d.M.yyyy"]
+    formats = ["yyyy-MM-dd", "yyyyMMdd", "d MMMM yyyy", "d MMM yyyy", "MMMM d, yyyy", "M/d/yyyy", "M.d.yyyy"]
     spelling = F.lit("the last day")
     for i, f in enumerate(formats):
         stamp = F.date_format("o_orderdate", f)

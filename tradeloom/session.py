@@ -26,11 +26,11 @@ def build_session(app: str = "tradeloom", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
     Only a local session may fall back to a temporary folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,9 +117,10 @@ def file_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def cell_count(line, sep: str = ",", quote: str = '"'):
     """Number of cells of a line: separators outside quotes plus one."""
-    quoted = f"{quote}[^{quote}]*{quote}"
-    bare = F.regexp_replace(line, quoted, "")
-    return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
+    mark = re.escape(quote)
+    bare = F.regexp_replace(line, f"{mark}[^{mark}]*{mark}", "")
+    without = F.length(F.replace(bare, F.lit(sep), F.lit("")))
+    return ((F.length(bare) - without) / len(sep)).cast("int") + 1
 
 
 def ragged_rows(lines: DataFrame, n_columns: int, sep: str = ",", quote: str = '"', line: str = "line") -> DataFrame:
