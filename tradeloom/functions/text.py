@@ -129,7 +129,7 @@ def date_shape(date_format: str) -> str:
             parts.append(pieces.get(token, rf"\d{{{len(token)}}}"))
         else:
             parts.append(re.escape(token))
-    return f"^{''.join(parts)}$"
+    return f"(?i)^{''.join(parts)}$"
 
 
 def strict_bool(text: Column, reverse: bool = False) -> Column:
