@@ -20,7 +20,8 @@ def mean_of(total: Column, count: Column, dtype: T.DataType) -> Column:
 
 
 def round_half_up(value: Column, digits: int, dtype: T.DataType) -> Column:
+    """Decimals end as 18-digit ones, which Spark keeps in a single long."""
     if is_decimal(dtype):
-        return F.round(value, digits).cast(f"decimal(20,{digits})")
+        return F.round(value, digits).cast(f"decimal(18,{digits})")
     scale = float(10**digits)
     return F.floor(value * scale + F.lit(0.5)) / F.lit(scale)

@@ -11,7 +11,8 @@ key back to one row. Three facts let this plan keep one row per key from the sta
 * the world mean weights a reporter's rate by its joined row count, and that count is the number of
   partners plus a correction for the few keys that have several values.
 
-Reported rates are therefore reduced to per-key statistics first. The grid is generated from arrays, so
+Reported rates are therefore reduced to per-key statistics first. Means are rounded there too: everything
+after them only selects among values, and rounding keeps their order. The grid is generated from arrays, so
 no pairwise join is needed, and everything per (product, reporter) shares one hash partitioning: the
 dense cube itself is never shuffled.
 """
@@ -199,6 +200,10 @@ def spine(products: DataFrame, numbers: DataFrame, first_year: int, last_year: i
     )
 
 
+def _rounded(value: Column, dtype: T.DataType) -> Column:
+    return round_half_up(value, 3, dtype)
+
+
 def _reporter_years(
     products: DataFrame,
     stats: DataFrame,
@@ -243,24 +248,25 @@ def _reporter_years(
     # Both windows hold at most one row per reporter, or per year.
     per_year = W.partitionBy("product", "year")
     so_far = W.partitionBy("product", "reporter").orderBy("year").rowsBetween(W.unboundedPreceding, 0)
+    totals = grid.withColumn("weight", weight).withColumns(
+        {
+            "world_sum": F.sum(F.col("m_sum") * F.col("weight")).over(per_year),
+            "world_n": F.sum(F.col("m_cnt") * F.col("weight")).over(per_year),
+        }
+    )
+    filled = totals.withColumn("mfn_filled", F.last("m_min", ignorenulls=True).over(so_far))
+    rounded = {
+        "mfn_rate": mean_of(F.col("m_sum"), F.col("m_cnt"), dtype),
+        "mfn_filled": F.col("mfn_filled"),
+        "bnd_rate": F.col("bnd_rate"),
+        "eu_part_rate": F.col("eu_part_rate"),
+        "world_average": mean_of(F.col("world_sum"), F.col("world_n"), dtype),
+    }
+    year = ["year", "eu_rep", "mfn_rate", "mfn_filled", "eu_part_rate", "world_average"]
     return (
-        grid.withColumn("weight", weight)
-        .withColumn(
-            "world_average",
-            mean_of(
-                F.sum(F.col("m_sum") * F.col("weight")).over(per_year),
-                F.sum(F.col("m_cnt") * F.col("weight")).over(per_year),
-                dtype,
-            ),
-        )
-        .withColumn("mfn_filled", F.last("m_min", ignorenulls=True).over(so_far))
-        .withColumn("mfn_rate", mean_of(F.col("m_sum"), F.col("m_cnt"), dtype))
+        filled.withColumns({name: _rounded(value, dtype) for name, value in rounded.items()})
         .groupBy("product", "reporter", "bnd_rate")
-        .agg(
-            F.collect_list(
-                F.struct("year", "eu_rep", "mfn_rate", "mfn_filled", "eu_part_rate", "world_average")
-            ).alias("years")
-        )
+        .agg(F.collect_list(F.struct(*year)).alias("years"))
     )
 
 
@@ -277,11 +283,21 @@ def _reporter_partners(products: DataFrame, observed: DataFrame, numbers: DataFr
         .select("*", F.explode(codes).alias("partner"))
         .where("reporter != partner")
     )
+    dtype = observed.schema["a_sum"].dataType
+    # A key without an applied rate (or with an empty one) falls through to the EU rates.
+    applied_missing = (F.coalesce("a_n", F.lit(0)) == 0) | (F.col("a_cnt") < F.col("a_n"))
+    eu_missing = F.col("e_n").isNull() | (F.col("e_cnt") < F.col("e_n"))
     seen = observed.select(
         "product",
         "reporter",
         "partner",
-        F.struct("year", "a_n", "a_cnt", "a_sum", "a_min", "e_n", "e_cnt", "e_sum", "e_min").alias("seen"),
+        F.struct(
+            "year",
+            _rounded(mean_of(F.col("a_sum"), F.col("a_cnt"), dtype), dtype).alias("app_rate"),
+            _rounded(mean_of(F.col("e_sum"), F.col("e_cnt"), dtype), dtype).alias("eu_rep_rate"),
+            _rounded(F.least("a_min", F.when(applied_missing, F.col("e_min"))), dtype).alias("applied"),
+            (applied_missing & eu_missing).alias("open"),
+        ).alias("seen"),
     )
     return (
         grid.unionByName(seen, allowMissingColumns=True)
@@ -350,24 +366,17 @@ def _assume(
         .join(listed.select(F.col("iso_num").alias("partner"), F.lit(True).alias("is_listed")), "partner", "left")
     )
     eu_part_rate = F.when(F.col("eu_part"), F.col("eu_part_rate"))
-    # A key without an applied rate (or with an empty one) can fall through to the EU rates.
-    applied_missing = (F.coalesce("o.a_n", F.lit(0)) == 0) | (F.col("o.a_cnt") < F.col("o.a_n"))
-    eu_missing = F.col("o.e_n").isNull() | (F.col("o.e_cnt") < F.col("o.e_n"))
-    applied = F.least(
-        F.col("o.a_min"),
-        F.when(applied_missing, F.col("o.e_min")),
-        F.when(applied_missing & eu_missing, eu_part_rate),
-    )
+    applied = F.least(F.col("o.applied"), F.when(F.coalesce("o.open", F.lit(True)), eu_part_rate))
     so_far = (
         W.partitionBy("product", "reporter", "partner").orderBy("year").rowsBetween(W.unboundedPreceding, 0)
     )
     measures = {
-        "app_rate": mean_of(F.col("o.a_sum"), F.col("o.a_cnt"), dtype),
+        "app_rate": F.col("o.app_rate"),
         "mfn_rate": F.when(F.col("is_listed"), F.col("mfn_rate")),
         "bnd_rate": F.col("bnd_rate"),
-        "eu_rep_rate": mean_of(F.col("o.e_sum"), F.col("o.e_cnt"), dtype),
+        "eu_rep_rate": F.col("o.eu_rep_rate"),
         "eu_part_rate": eu_part_rate,
-        "eu_eu_rate": F.when(F.col("eu_rep") & F.col("eu_part"), F.lit(0)).cast(dtype),
+        "eu_eu_rate": F.when(F.col("eu_rep") & F.col("eu_part"), _rounded(F.lit(0).cast(dtype), dtype)),
         "world_average": F.col("world_average"),
     }
     measures["assumed_tariff"] = F.coalesce(
@@ -376,10 +385,4 @@ def _assume(
         F.when(F.col("is_listed"), F.col("mfn_filled")),
         F.col("world_average"),
     )
-    return rows.select(
-        "product",
-        "reporter",
-        "partner",
-        "year",
-        *[round_half_up(measures[m], 3, dtype).alias(m) for m in MEASURES],
-    )
+    return rows.select("product", "reporter", "partner", "year", *[measures[m].alias(m) for m in MEASURES])
