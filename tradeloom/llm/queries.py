@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import langid, quality, url_rules
+from tradeloom.llm import bpe, langid, quality, url_rules
 from tradeloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,14 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_language_id"] = op9_language_id
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode(docs, vocabulary, bpe.train_lexicon(docs, vocabulary), digests=True)
+
+
+QUERIES["op1_bpe"] = op1_bpe
