@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import bpe, langid, quality, url_rules
+from tradeloom.llm import bpe, langid, pii, quality, topk, url_rules
 from tradeloom.llm.common import table
+from tradeloom.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -122,3 +123,32 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_bpe"] = op1_bpe
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = materialize(pii.find(table(spark, sf_dir, "documents")), "pii-candidates")
+    return pii.decide(found, pii.learn(found))
+
+
+QUERIES["op3_pii"] = op3_pii
+
+
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+QUERIES["op6_top_k"] = op6_top_k
+ORACLES["op6_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) t
+WHERE rank <= 10
+"""
