@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import bpe, langid, pii, quality, topk, url_rules
+from tradeloom.llm import bpe, langid, packing, pii, quality, topk, url_rules
 from tradeloom.llm.common import table
 from tradeloom.session import materialize
 
@@ -152,3 +152,10 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) t
 WHERE rank <= 10
 """
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), packing.word_count(F.col("text")))
+
+
+QUERIES["op8_packing"] = op8_packing
