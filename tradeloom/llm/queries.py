@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import bpe, langid, packing, pii, quality, topk, url_rules
+from tradeloom.llm import bpe, dart, langid, packing, pii, quality, topk, url_rules
 from tradeloom.llm.common import table
 from tradeloom.session import materialize
 
@@ -159,3 +159,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_packing"] = op8_packing
+
+
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op7_near_duplicates"] = op7_near_duplicates
