@@ -29,11 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.llm.common import sha256_hex, slices
+from tradeloom.session import materialize
 
-LEXICON_WORDS = 50_000
+LEXICON_WORDS = 100_000
 LEXICON_BYTES = 48
 #: Words whose ids a worker remembers between slices.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+#: Longest word that is merged together with others.
+TOGETHER = 64
 
 # Letters and numbers that came after version 16 of Unicode, which the vocabulary's library follows.
 LATE = (
@@ -59,7 +62,11 @@ ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za
 def words(text: str) -> list[str]:
     if text.isascii():
         return ASCII.findall(text)
-    return (ANY if HAS_LATE.search(text) else PLAIN).findall(text)
+    try:
+        text.encode("latin-1")  # far quicker than a search, and true of most texts that are not ASCII
+    except UnicodeEncodeError:
+        return (ANY if HAS_LATE.search(text) else PLAIN).findall(text)
+    return PLAIN.findall(text)
 
 
 class Vocabulary:
@@ -78,6 +85,8 @@ class Vocabulary:
         for rank, pair in enumerate(saved["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges.setdefault((ids[a], ids[b]), (rank, ids[a + b]))
+        pairs = sorted((a << 32 | b, rank, new) for (a, b), (rank, new) in self.merges.items())
+        self.pair_keys, self.pair_ranks, self.pair_ids = (np.array(x, np.int64) for x in (zip(*pairs) if pairs else [[]] * 3))
         self.special = {t["content"]: t["id"] for t in saved.get("added_tokens", [])}
         self.bytes_of |= {i: token.encode() for token, i in self.special.items()}
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -114,6 +123,52 @@ class Vocabulary:
         return [x for x in ids if x >= 0]
 
 
+    def _ranked(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and id of each pair; a pair that never merges has a rank above all others."""
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        ok = self.pair_keys[at] == key
+        return np.where(ok, self.pair_ranks[at], len(self.pair_keys)), self.pair_ids[at]
+
+    def merge_many(self, found: list[bytes]) -> list[bytes]:
+        """The ids of many words as little-endian 32-bit numbers: words of a length take a merge each at a time."""
+        out: list[bytes] = [b""] * len(found)
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        single = np.array(self.single, np.int64)
+        for n in np.unique(lengths).tolist():
+            who = np.flatnonzero(lengths == n)
+            if n < 2 or n > TOGETHER or not len(self.pair_keys):
+                for i in who:
+                    out[i] = np.array(self.merge(found[i]), "<u4").tobytes()
+                continue
+            ids = single[np.frombuffer(b"".join(found[i] for i in who), np.uint8)].reshape(len(who), n)
+            rank, new = self._ranked(ids[:, :-1], ids[:, 1:])
+            never = len(self.pair_keys)
+            while len(who):
+                j = rank.argmin(1) if rank.shape[1] else np.zeros(len(who), np.int64)
+                each = np.arange(len(who))
+                done = rank[each, j] == never if rank.shape[1] else np.ones(len(who), bool)
+                if done.any():
+                    for i, row in zip(who[done], ids[done].astype("<u4")):
+                        out[i] = row.tobytes()
+                    who, ids, rank, new, j = who[~done], ids[~done], rank[~done], new[~done], j[~done]
+                    each = np.arange(len(who))
+                    if not len(who):
+                        break
+                width = ids.shape[1]
+                ids[each, j] = new[each, j]
+                keep = np.ones(ids.shape, bool)
+                keep[each, j + 1] = False
+                ids = ids[keep].reshape(len(who), width - 1)
+                keep = np.ones(rank.shape, bool)
+                keep[each, j] = False
+                rank, new = rank[keep].reshape(len(who), width - 2), new[keep].reshape(len(who), width - 2)
+                for at, ok in ((j - 1, j > 0), (j, j < width - 2)):
+                    rows, cols = each[ok], at[ok]
+                    rank[rows, cols], new[rows, cols] = self._ranked(ids[rows, cols], ids[rows, cols + 1])
+        return out
+
+
 def compile_lexicon(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
     """The file of the minimal transducer for words in strictly rising byte order, with their ids."""
     # A state is [final, {label: state}]; finished states are replaced by an equal one that is registered.
@@ -159,7 +214,7 @@ def compile_lexicon(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
             skips.append(total)
             total += int(below[target])
         below[state] = total
-    arrays = [np.array(keys, "<i8"), np.array(targets, "<i8"), np.array(skips, "<i8"), np.array(final, "<i8"), np.array(offsets, "<i8"), np.array(flat, "<i8")]
+    arrays = [np.array(keys, "<i8"), np.array(targets, "<i8"), np.array(skips, "<i8"), np.array(final, "<i8"), np.array(offsets, "<i8"), np.array(flat, "<u4")]
     return np.array([len(a) for a in arrays], "<i8").tobytes() + b"".join(a.tobytes() for a in arrays)
 
 
@@ -174,10 +229,11 @@ class Lexicon:
             self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
         sizes = np.frombuffer(self.map, "<i8", 6)
         at, arrays = 48, []
-        for n in sizes.tolist():
+        for n in sizes.tolist()[:5]:
             arrays.append(np.frombuffer(self.map, "<i8", n, at))
             at += 8 * n
-        self.keys, self.targets, self.skips, self.final, self.offsets, self.ids = arrays
+        self.keys, self.targets, self.skips, self.final, self.offsets = arrays
+        self.ids = memoryview(self.map)[at : at + 4 * int(sizes[5])]
 
     def find(self, found: list[bytes]) -> np.ndarray:
         """The number of each word, -1 if it isn't in the lexicon: all words take a step at a time."""
@@ -232,12 +288,18 @@ def train_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text
     """Count the words of every text, merge the most frequent ones and compile them."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     counts = docs.select(F.col(text_col)).mapInArrow(_count(shared), "word string, n long")
-    frequent = (
-        counts.groupBy("word").agg(F.sum("n").alias("n")).where((F.col("n") > 1) & (F.octet_length("word") <= LEXICON_BYTES))
-        .orderBy(F.desc("n"), "word").limit(most).collect()
-    )
+    counts = counts.groupBy("word").agg(F.sum("n").alias("n")).where((F.col("n") > 1) & (F.octet_length("word") <= LEXICON_BYTES))
+    counts = materialize(counts, "bpe-words")
+    # The least frequency above which there are no more than ``most`` words: few words have any one high frequency.
+    enough, room = 2, most
+    for n, words_of_n in sorted(((r.n, r.c) for r in counts.groupBy("n").agg(F.count("*").alias("c")).collect()), reverse=True):
+        room -= words_of_n
+        if room < 0:
+            enough = n + 1
+            break
+    frequent = counts.where(F.col("n") >= enough).select("word").collect()
     found = sorted(r.word.encode() for r in frequent)
-    return compile_lexicon((w, vocabulary.merge(w)) for w in found)
+    return compile_lexicon(zip(found, (np.frombuffer(x, "<u4").tolist() for x in vocabulary.merge_many(found))))
 
 
 class Encoder:
@@ -253,13 +315,13 @@ class Encoder:
     def learn(self, found: set[str]) -> None:
         new = [w for w in found if w not in self.known]
         raw = [w.encode() for w in new]
-        lexicon = self.lexicon
-        for word, data, number in zip(new, raw, lexicon.find(raw).tolist()):
-            if number >= 0:
-                ids = lexicon.ids[lexicon.offsets[number] : lexicon.offsets[number + 1]].astype("<u4")
-            else:
-                ids = np.array(self.vocabulary.merge(data), "<u4")
-            self.known[word] = ids.tobytes()
+        ids, numbers = self.lexicon.ids, self.lexicon.find(raw)
+        has = numbers >= 0
+        starts, ends = (4 * self.lexicon.offsets[numbers[has] + k] for k in (0, 1))
+        self.known.update(zip((w for w, ok in zip(new, has) if ok), (bytes(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist()))))
+        lacking = np.flatnonzero(~has).tolist()
+        merged = self.vocabulary.merge_many([raw[i] for i in lacking])
+        self.known.update(zip((new[i] for i in lacking), merged))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [[(words(p) if k % 2 == 0 else p) for k, p in enumerate(self.vocabulary.parts(t))] for t in texts]
