@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import bpe, dart, langid, packing, pii, quality, topk, url_rules
+from tradeloom.llm import bpe, dart, langid, packing, pii, quality, repeats, topk, url_rules
 from tradeloom.llm.common import table
 from tradeloom.session import materialize
 
@@ -166,3 +166,10 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_near_duplicates"] = op7_near_duplicates
+
+
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats(table(spark, sf_dir, "documents"), digests=True).withColumnRenamed("kept", "kept_sha256")
+
+
+QUERIES["op4_repeats"] = op4_repeats
