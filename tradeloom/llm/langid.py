@@ -23,9 +23,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeloom.llm.common import slices
 
@@ -141,42 +141,48 @@ class _Scores(dict):
         return at
 
 
-def _predictor(shared: Broadcast):
+class Predictor:
+    """Language and score of one text after another."""
+
+    def __init__(self, model: Model):
+        self.languages, self.scores = model.languages, _Scores(model)
+
+    def __call__(self, text: str | None) -> tuple[str, float]:
+        words = LETTERS.findall(text.lower()) if text else []
+        if not words or not self.languages:
+            return "und", 0.0
+        scores, total = self.scores, np.zeros(len(self.languages))
+        for i in range(0, len(words), 100_000):
+            known = words[i : i + 100_000]
+            if len(scores) + len(known) > scores.most:
+                scores.clear()
+            total += scores.rows[[scores[w] for w in known]].sum(axis=0)
+        best = int(np.argmax(total))
+        z = (total - total[best]) / len(words) * min(len(words), FULL_WORDS)
+        return self.languages[best], float(1 / np.exp(z).sum())
+
+
+def with_language(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The rows of ``docs`` with the predicted language and its score behind, under ``names``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        scores = _Scores(model)
+        predict_one = Predictor(shared.value)
         for batch in batches:
-            for part in slices(batch, 1):
-                if len(scores) > scores.most // 2:
-                    scores.clear()
-                langs, values = [], []
-                for text in part.column(1).to_pylist():
-                    words = LETTERS.findall(text.lower()) if text else []
-                    if not words or not model.languages:
-                        langs.append("und")
-                        values.append(0.0)
-                        continue
-                    total = np.zeros(len(model.languages))
-                    for i in range(0, len(words), 100_000):
-                        known = words[i : i + 100_000]
-                        if len(scores) + len(known) > scores.most:
-                            scores.clear()
-                        total += scores.rows[[scores[w] for w in known]].sum(axis=0)
-                    best = int(np.argmax(total))
-                    z = (total - total[best]) / len(words) * min(len(words), FULL_WORDS)
-                    langs.append(model.languages[best])
-                    values.append(float(1 / np.exp(z).sum()))
-                arrays = [part.column(0), pa.array(langs, pa.string()), pa.array(values, pa.float64())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "lang_pred", "score"])
-
-    return run
+            for part in slices(batch, place):
+                found = [predict_one(t) for t in part.column(place).to_pylist()]
+                more = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], names=[*part.schema.names, *names])
+
+    schema = T.StructType([*docs.schema, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    return docs.mapInArrow(run, schema)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score`` of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_predictor(shared), "doc_id long, lang_pred string, score double")
+    return with_language(rows, model).select("doc_id", "lang_pred", "score")
 
 
 def held_out(id_col: str = "doc_id"):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import bpe, dart, langid, packing, pii, quality, repeats, topk, url_rules
+from tradeloom.llm import bpe, dart, kneser, langid, packing, pii, quality, repeats, topk, url_rules
 from tradeloom.llm.common import table
 from tradeloom.session import materialize
 
@@ -173,3 +173,11 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_repeats"] = op4_repeats
+
+
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    return kneser.classify(table(spark, sf_dir, "documents"), labels.where("quality = 1 and toxic = 0"))
+
+
+QUERIES["op10_kneser_ney"] = op10_kneser_ney

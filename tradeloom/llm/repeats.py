@@ -379,16 +379,20 @@ def _replies(rows: pa.Table, kind: int) -> dict[int, bytes]:
     return {p: d for k, p, d in zip(*(rows.column(c).to_pylist() for c in ("kind", "part", "data"))) if k == kind}
 
 
-def repeats(docs: DataFrame, digests: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans`` and the kept bytes (``kept``), or with ``digests`` their SHA-256."""
+def repeats(
+    docs: DataFrame, digests: bool = False, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans`` and the kept bytes (``kept``), or with ``digests`` their SHA-256.
+
+    Columns named in ``carry`` travel with the text, so that they need not be joined to the result."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shuffled = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * GROUP_BYTES)))
     groups = 4 * shuffled
     ranges = max(1, total // 16 // RANGE_PIECES, 2 * shuffled)
     # The one shuffle of texts; its three readers share it.
-    dealt = rows.select(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(groups)).cast("int").alias("g"), "doc_id", "text")
+    dealt = rows.select(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(groups)).cast("int").alias("g"), "doc_id", "text", *carry)
     dealt = dealt.repartition(shuffled, "g")
 
     def request(texts: pa.Table) -> pa.Table:
@@ -413,12 +417,13 @@ def repeats(docs: DataFrame, digests: bool = False, id_col: str = "doc_id", text
             out.append((b - a, int(mine.sum()), edges, sha256_hex(kept) if digests else kept))
         columns = list(zip(*out)) if out else [[]] * 4
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string() if digests else pa.binary()]
-        ids = texts.column("doc_id")
-        return pa.table([ids, *(pa.array(c, k) for c, k in zip(columns, kinds))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+        arrays = [texts.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds)), *(texts.column(c) for c in carry)]
+        return pa.table(arrays, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *carry])
 
     said = dealt.groupBy("g").applyInArrow(request, BLOBS).groupBy("part").applyInArrow(_answering(decide, 0), BLOBS)
     sent = dealt.groupBy("g").cogroup(said.groupBy("g")).applyInArrow(send, BLOBS)
     told = sent.groupBy("part").applyInArrow(_answering(earlier, 1), BLOBS)
     both = said.unionByName(told)
     result = "doc_id long, n_bytes long, n_removed long, n_spans long, kept " + ("string" if digests else "binary")
+    result += "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in carry)
     return dealt.groupBy("g").cogroup(both.groupBy("g")).applyInArrow(remove, result)
