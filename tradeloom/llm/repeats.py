@@ -36,9 +36,10 @@ from tradeloom.llm.common import mix, sha256_hex
 LENGTH = 50
 GRAM = 20
 SPAN = LENGTH - GRAM + 1  # grams of a window, and the most windows of a piece
-BUSY = 4
-#: Bytes of text that a group holds on average, and pieces of a key range.
-GROUP_BYTES = 8 << 20
+BUSY = 12
+#: Bytes of text that a group holds on average and that are hashed at a time, and pieces of a key range.
+GROUP_BYTES = 4 << 20
+CHUNK = 1 << 17
 RANGE_PIECES = 400_000
 KEY_BITS = np.uint64(48)
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -83,43 +84,70 @@ class Group:
 
     def _runs(self) -> None:
         n = len(self.data)
-        windows = n - LENGTH + 1
-        if windows < 1:
-            self.start = self.count = self.doc = np.zeros(0, np.int64)
-            self.key = self.tag = np.zeros(0, np.uint64)
-            self._distinct()
-            return
-        d = self.data.astype(np.uint64)
-        h4 = d[:-3] | d[1:-2] << np.uint64(8) | d[2:-1] << np.uint64(16) | d[3:] << np.uint64(24)
-        h8 = (h4[:-4] | h4[4:] << np.uint64(32)) * GOLD
-        h8 ^= h8 >> np.uint64(29)
-        self.h16 = mix(h8[:-8] * GOLD + h8[8:])
-        grams = mix(self.h16[:-4] + h4[16:] * GOLD) >> (np.uint64(64) - KEY_BITS)
-        least, reach = grams, 1
+        self.h16 = np.zeros(max(0, n - 15), np.uint64)
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        a, docs = 0, len(self.offsets) - 1
+        while a < docs:  # documents are read some at a time, so that the arrays fit the cache
+            b = max(a + 1, int(np.searchsorted(self.offsets, self.offsets[a] + CHUNK, "right")) - 1)
+            parts.append(self._runs_of(a, b))
+            a = b
+        start, count, key = (np.concatenate([x[i] for x in parts]) if parts else np.zeros(0, np.int64) for i in range(3))
+        # Runs of text that repeats itself are cut; equal windows meet under their key in any case.
+        pieces = -(-count // SPAN)
+        which = np.repeat(np.arange(len(start)), pieces)
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        self.start = start[which] + nth * SPAN
+        self.count = np.minimum(SPAN, count[which] - nth * SPAN)
+        self.doc = np.searchsorted(self.offsets, self.start, "right") - 1
+        self.key = key[which].astype(np.uint64)
+        first, last = self.window_hash(self.start), self.window_hash(self.start + self.count - 1)
+        self.tag = mix(first * GOLD + last + self.count.astype(np.uint64)) >> np.uint64(24)
+        self._distinct()
+
+    def _runs_of(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, windows and keys of the runs of the documents from ``a`` to before ``b``."""
+        low, high = int(self.offsets[a]), int(self.offsets[b])
+        n, none = high - low, np.zeros(0, np.int64)
+        if n < LENGTH:
+            return none, none, none.astype(np.uint64)
+        raw = self.data[low:high].tobytes()
+        h8 = np.empty(n - 7, np.uint64)
+        for k in range(8):  # the eight bytes from each place as one number
+            h8[k::8] = np.frombuffer(raw, "<u8", (n - k) // 8, k)
+        h16 = h8[:-8] * GOLD
+        h16 ^= h16 >> np.uint64(32)
+        h16 += h8[8:]
+        h16 *= np.uint64(0xBF58476D1CE4E5B9)
+        h16 ^= h16 >> np.uint64(29)
+        h16 *= np.uint64(0x94D049BB133111EB)
+        self.h16[low : low + len(h16)] = h16
+        least = h8[16:] & np.uint64(0xFFFFFFFF)  # of the last four bytes of each gram, but for the end
+        least = np.concatenate([least, [int.from_bytes(raw[n - 4 - j : n - j], "little") for j in (3, 2, 1, 0)]]).astype(np.uint64)
+        least = (least[: n - GRAM + 1] + np.uint64(1)) * GOLD
+        least += h16[: n - GRAM + 1]
+        least ^= least >> np.uint64(32)
+        least *= np.uint64(0xBF58476D1CE4E5B9)
+        least >>= np.uint64(64) - KEY_BITS
+        reach = 1
         while 2 * reach <= SPAN:
             least = np.minimum(least[:-reach], least[reach:])
             reach *= 2
+        windows = n - LENGTH + 1
         least = np.minimum(least[:windows], least[SPAN - reach :][:windows])
-        size = np.diff(self.offsets)
-        doc = np.repeat(np.arange(len(size)), size)[:windows]
-        good = (np.arange(windows) + LENGTH <= self.offsets[1:][doc]) & self.known[doc]
+        begins, ends = self.offsets[a:b] - low, self.offsets[a + 1 : b + 1] - low
+        good = np.zeros(windows + 1, np.int8)
+        usable = (ends - begins >= LENGTH) & self.known[a:b]
+        np.add.at(good, begins[usable], 1)
+        np.add.at(good, ends[usable] - LENGTH + 1, -1)
+        good = np.cumsum(good[:-1], dtype=np.int8)
         new = np.ones(windows, bool)
-        new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1]) | (good[1:] != good[:-1])
+        np.not_equal(least[1:], least[:-1], out=new[1:])
+        new[1:] |= good[1:] != good[:-1]
+        new[begins[begins < windows]] = True
         start = np.flatnonzero(new)
         count = np.diff(np.append(start, windows))
-        ok = good[start]
-        start, count = start[ok], count[ok]
-        # Runs of text that repeats itself are cut; equal windows meet under their key in any case.
-        parts = -(-count // SPAN)
-        which = np.repeat(np.arange(len(start)), parts)
-        nth = np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)
-        self.start = start[which] + nth * SPAN
-        self.count = np.minimum(SPAN, count[which] - nth * SPAN)
-        self.doc = doc[self.start]
-        self.key = least[self.start]
-        first, last = self.window_hash(self.start), self.window_hash(self.start + self.count - 1)
-        self.tag = mix(first * GOLD + last + self.count.astype(np.uint64)) >> np.uint64(24)
-        self._distinct()
+        ok = good[start] == 1
+        return start[ok] + low, count[ok], least[start[ok]]
 
     def window_hash(self, s: np.ndarray) -> np.ndarray:
         h = self.h16
@@ -128,8 +156,15 @@ class Group:
     def _distinct(self) -> None:
         """Different (key, tag), each with the run of the smallest id; where a key has many, it is one busy entry."""
         ids = self.order[self.doc]
-        by = np.lexsort((ids, self.tag, self.key))
-        key, tag = self.key[by], self.tag[by]
+        by = np.argsort(self.key)
+        key = self.key[by]
+        twin = np.zeros(len(by), bool)  # only keys that occur again need the other columns
+        if len(by):
+            twin[1:] = key[1:] == key[:-1]
+            twin[:-1] |= twin[1:]
+        again = by[twin]
+        by[twin] = again[np.lexsort((ids[again], self.tag[again], self.key[again]))]
+        tag = self.tag[by]
         new = np.ones(len(by), bool)
         new[1:] = (key[1:] != key[:-1]) | (tag[1:] != tag[:-1])
         first = by[new]
@@ -305,18 +340,32 @@ def previous_smaller(values: np.ndarray) -> np.ndarray:
     return at
 
 
-def ranks(data: np.ndarray, room: np.ndarray) -> np.ndarray:
-    """The rank of the ``LENGTH`` bytes from each place among all places, by prefix doubling; 0 where fewer are left."""
+def dense(values: np.ndarray) -> np.ndarray:
+    """Ranks of numbers from 0 on, equal ones alike."""
+    by = np.argsort(values)
+    ordered = values[by]
+    out = np.empty(len(values), np.uint64)
+    step = np.zeros(len(values), np.uint64)
+    step[1:] = ordered[1:] != ordered[:-1]
+    out[by] = np.cumsum(step)
+    return out
+
+
+def ranks(data: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The rank of the ``LENGTH`` bytes from each place that has them (``left``: bytes up to the end of the piece), by
+    prefix doubling: each step ranks pairs of ranks, at the places that a later step still asks for."""
     n = len(data)
-    grown = np.concatenate([data, np.zeros(LENGTH, np.uint8)]).astype(np.uint64)
-    rank = np.zeros(n + LENGTH, np.uint64)
+    raw = data.tobytes() + bytes(8)
+    eight = np.empty(n, np.uint64)
     for k in range(8):
-        rank[:n] = rank[:n] << np.uint64(8) | grown[k : k + n]
-    rank[:n] = np.unique(rank[:n], return_inverse=True)[1]
-    for step in (8, 16, LENGTH - 32):  # from 8 to 16, 32 and LENGTH bytes
-        pair = rank[:n] << np.uint64(32) | rank[step : step + n]
-        rank[:n] = np.unique(pair, return_inverse=True)[1]
-    return np.where(room >= LENGTH, rank[:n] + np.uint64(1), np.uint64(0))
+        eight[k::8] = np.frombuffer(raw, ">u8", (n - k + 7) // 8, k)
+    rank = np.zeros(n + LENGTH, np.uint64)
+    place = np.flatnonzero(left >= 8)
+    rank[place] = dense(eight[place])
+    for reach, step in ((16, 8), (32, 16), (LENGTH, LENGTH - 32)):
+        place = place[left[place] >= reach]
+        rank[place] = dense(rank[place] << np.uint64(32) | rank[place + step])
+    return rank[place]
 
 
 def earlier(blobs: list[bytes]) -> list[bytes]:
@@ -330,17 +379,15 @@ def earlier(blobs: list[bytes]) -> list[bytes]:
         raw.append(np.frombuffer(blob, np.uint8, len(blob) - at, at))
         numbers.append(len(least))
     least, size, data = np.concatenate(ids), np.concatenate(sizes), np.concatenate(raw)
-    left = np.repeat(np.cumsum(size), size) - np.arange(len(data))  # bytes up to the end of the piece
-    place = np.flatnonzero(left >= LENGTH)
-    rank = ranks(data, left)[place]
-    owner = np.repeat(least, size)[place]
-    order = np.argsort(rank, kind="stable")  # the suffix order
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(data))
+    rank, owner = ranks(data, left), np.repeat(least, size - LENGTH + 1)
+    order = np.argsort(rank)  # the suffix order
     doc, klass = owner[order], rank[order]
     before = previous_smaller(doc)
     after = len(doc) - 1 - previous_smaller(doc[::-1])[::-1]
     found = (before >= 0) & (klass[before] == klass)
     found |= (after < len(doc)) & (klass[np.minimum(after, len(doc) - 1)] == klass)
-    bits = np.zeros(len(place), bool)
+    bits = np.zeros(len(rank), bool)
     bits[order] = found
     windows = size - LENGTH + 1
     out, at, i = [], 0, 0
@@ -388,8 +435,8 @@ def repeats(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shuffled = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * GROUP_BYTES)))
-    groups = 4 * shuffled
+    shuffled = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (8 * GROUP_BYTES)))
+    groups = 4 * max(shuffled, -(-total // (4 * GROUP_BYTES)))
     ranges = max(1, total // 16 // RANGE_PIECES, 2 * shuffled)
     # The one shuffle of texts; its three readers share it.
     dealt = rows.select(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(groups)).cast("int").alias("g"), "doc_id", "text", *carry)
