@@ -316,7 +316,8 @@ def classify(
     ids = trusted.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     held = F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(HELD)) == 0
     known = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    known = known.join(ids.where(~held), "doc_id", "left_semi")
+    # The ids grow with the corpus, so this is a shuffle at every size.
+    known = known.join(ids.where(~held).hint("shuffle_merge"), "doc_id", "left_semi")
     scored = materialize(score(docs, train(known), id_col, text_col, lang_col, most), "kneser-perplexity")
     known = scored.join(ids.where(held), "doc_id", "left_semi")
     limit = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)) * slack
