@@ -38,9 +38,9 @@ GRAM = 20
 SPAN = LENGTH - GRAM + 1  # grams of a window, and the most windows of a piece
 BUSY = 12
 #: Bytes of text that a group holds on average and that are hashed at a time, and pieces of a key range.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 CHUNK = 1 << 17
-RANGE_PIECES = 400_000
+RANGE_PIECES = 100_000
 KEY_BITS = np.uint64(48)
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -239,9 +239,8 @@ class Group:
     def removed(self, code: np.ndarray, replies: dict[int, bytes], ranges: int) -> np.ndarray:
         """Whether each byte goes."""
         n = len(self.data)
-        gone = np.zeros(n + 1, np.int64)
         if not len(self.start):
-            return gone[:n] > 0
+            return np.zeros(n, bool)
         parts, hashes, hash_ids = self.sent(code, ranges)
         n_pieces = int((code == PIECE).sum())
         bits: dict[int, np.ndarray] = {}
@@ -267,9 +266,10 @@ class Group:
             mine = np.repeat(self.order[self.doc[busy]], self.count[busy])
             place = np.searchsorted(hashes, self.window_hash(at))
             starts[at] |= (mine > hash_ids[place]) | flags[place]
-        total = np.concatenate([[0], np.cumsum(starts)])
-        low = np.maximum(np.arange(n) - LENGTH + 1, 0)
-        return total[1:] - total[low] > 0
+        # A byte goes if one of the last LENGTH places starts a removed window.
+        total = np.cumsum(starts, dtype=np.int32 if n < 2**31 else np.int64)
+        total[LENGTH:] -= total[:-LENGTH].copy()
+        return total > 0
 
 
 def range_of(key: np.ndarray, ranges: int) -> np.ndarray:
@@ -436,7 +436,7 @@ def repeats(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shuffled = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (8 * GROUP_BYTES)))
-    groups = 4 * max(shuffled, -(-total // (4 * GROUP_BYTES)))
+    groups = 8 * max(shuffled, -(-total // (8 * GROUP_BYTES)))
     ranges = max(1, total // 16 // RANGE_PIECES, 2 * shuffled)
     # The one shuffle of texts; its three readers share it.
     dealt = rows.select(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(groups)).cast("int").alias("g"), "doc_id", "text", *carry)
