@@ -11,9 +11,9 @@ are widened by the rounding error of double precision, and equal scores are kept
 Queries are a stated set that meets all rows, block by block; memory is bounded by two blocks. The best k of a block
 pair are all that is shuffled.
 
-Cases: vectors that are null, empty, of another number of dimensions than ``dims`` (the most frequent one, ties to the
-smaller), or that hold null or non-finite components take no part. Scores beyond 64 bits are an error of the input and
-saturate. Equal ids are different rows; the query's own id never answers it. Only id and vector are read.
+Cases: vectors that are null, empty, of another number of dimensions than most (ties: the smaller number), or that hold null or non-finite components take no part. Scores beyond 64 bits are an error of the input and
+saturate. Equal ids are different rows, but a query that repeats an id is the least of its vectors, and rows of its own id
+never answer it. Only id and vector are read.
 """
 
 from __future__ import annotations
@@ -35,13 +35,11 @@ EXACT = 2.0**52
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """``vec_id, v`` with the whole numbers of every vector that takes part."""
+    """``vec_id, v`` with the whole numbers of every vector without missing or infinite components."""
     v = F.col(vec_col).cast("array<double>")
     good = v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).where(good & F.col(id_col).isNotNull())
-    rows = rows.select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(float(scale))).cast("double")).alias("v"))
-    sizes = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").limit(1).collect()
-    return rows.where(F.size("v") == (sizes[0].n if sizes else 0))
+    return rows.select("vec_id", F.transform("v", lambda x: F.floor(x * F.lit(float(scale))).cast("double")).alias("v"))
 
 
 def _gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +181,10 @@ def top_k(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` greatest inner products of each query row among all other rows."""
     rows = usable(vectors, id_col, vec_col, scale)
-    asked = usable(queries, id_col, vec_col, scale).groupBy("vec_id").agg(F.min("v").alias("v"))
+    sizes = rows.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "n").limit(1).collect()
+    fits = F.size("v") == (sizes[0].n if sizes else 0)
+    rows = rows.where(fits)
+    asked = usable(queries, id_col, vec_col, scale).where(fits).groupBy("vec_id").agg(F.min("v").alias("v"))
     total, n_asked = rows.count(), asked.count()
     if not total or not n_asked:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
