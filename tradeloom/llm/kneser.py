@@ -38,6 +38,8 @@ from tradeloom.session import materialize
 
 ORDER = 5
 HEAD = 1 << 20
+#: Different n-grams that a counting task holds before it hands them on.
+HELD_GRAMS = 400_000
 ALPHABET = 1_114_112  # code points
 START = 0x10FFFF
 HELD = 8
@@ -72,25 +74,47 @@ def keys_of(grams: list[str]) -> np.ndarray:
     return key
 
 
+class _Counts:
+    """Different n-grams of the highest order with their counts, merged part by part."""
+
+    def __init__(self):
+        self.key, self.n, self.grams = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, ORDER), np.uint32)
+
+    def add(self, texts: list[np.ndarray]) -> None:
+        points = np.concatenate(texts)
+        key = keys(points, ORDER)
+        inside = np.ones(len(key), bool)
+        for e in np.cumsum([len(t) for t in texts])[:-1].tolist():
+            inside[e - ORDER + 1 : e] = False
+        where = np.flatnonzero(inside)
+        found, first, counts = np.unique(key[where], return_index=True, return_counts=True)
+        at = where[first]
+        grams = np.stack([points[at + k] for k in range(ORDER)], 1)
+        by = np.argsort(np.concatenate([self.key, found]), kind="stable")
+        merged = np.concatenate([self.key, found])[by]
+        new = np.ones(len(merged), bool)
+        new[1:] = merged[1:] != merged[:-1]
+        start = np.flatnonzero(new)
+        self.key = merged[start]
+        self.n = np.add.reduceat(np.concatenate([self.n, counts])[by], start) if len(start) else self.n
+        self.grams = np.concatenate([self.grams, grams])[by[start]]
+
+    def rows(self) -> pa.RecordBatch:
+        grams = [g.tobytes().decode("utf-32-le") for g in self.grams.astype("<u4")]
+        return pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(self.n, pa.int64())], names=["gram", "n"])
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Different n-grams of the highest order with their counts, per part of the rows."""
+    counts = _Counts()
     for batch in batches:
-        for part in slices(batch, 0, 8_000_000):
+        for part in slices(batch, 0):
             texts = [c for c in map(characters, part.column(0).to_pylist()) if len(c)]
-            if not texts:
-                continue
-            points = np.concatenate(texts)
-            ends = np.cumsum([len(t) for t in texts])
-            key = keys(points, ORDER)
-            inside = np.ones(len(key), bool)
-            for e in ends[:-1]:
-                inside[e - ORDER + 1 : e] = False
-            where = np.flatnonzero(inside)
-            _, first, counts = np.unique(key[where], return_index=True, return_counts=True)
-            at = where[first]
-            rows = np.stack([points[at + k] for k in range(ORDER)], 1).astype("<u4")
-            grams = [r.tobytes().decode("utf-32-le") for r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(counts, pa.int64())], names=["gram", "n"])
+            if texts:
+                counts.add(texts)
+            if len(counts.key) > HELD_GRAMS:
+                yield counts.rows()
+                counts = _Counts()
+    yield counts.rows()
 
 
 def discounts(numbers: dict[int, int]) -> tuple[float, float, float]:
