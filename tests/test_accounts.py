@@ -38,9 +38,9 @@ XBRL = """<x:xbrl xmlns:x="http://www.xbrl.org/2003/instance" xmlns:pt="http://w
 def test_documents_to_rows(spark, tmp_path):
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w") as z:
-        z.writestr("Prod223_2798_12345_20200331.html", IXBRL)
-        z.writestr("Prod223_1859_1234_20170227.xml", XBRL)
-        z.writestr("Prod223_1859_9_20170227.xml", "<broken")
+        z.writestr("Prod9_11_12345_20200331.html", IXBRL)
+        z.writestr("Prod9_12_1234_20170227.xml", XBRL)
+        z.writestr("Prod9_12_9_20170227.xml", "<broken")
     (tmp_path / "accounts.zip").write_bytes(buffer.getvalue())
 
     documents = archive_documents(spark, str(tmp_path))
@@ -55,7 +55,7 @@ def test_documents_to_rows(spark, tmp_path):
     assert set(by_key) == {("12345", dt.date(2020, 3, 31)), ("12345", dt.date(2019, 3, 31)), ("1234", None)}
 
     now = by_key[("12345", dt.date(2020, 3, 31))]
-    assert (now.run_code, now.date, now.file_type) == ("Prod223_2798", dt.date(2020, 3, 31), "html")
+    assert (now.run_code, now.date, now.file_type) == ("Prod9_11", dt.date(2020, 3, 31), "html")
     assert now.taxonomy == "http://xbrl.frc.org.uk/fr/2014-09-01/core"
     assert now.period_start == dt.date(2020, 3, 31)
     assert now.entity_current_legal_name == "Acme X Ltd"

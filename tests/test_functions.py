@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -38,12 +39,16 @@ def test_free_dates(spark, text, expected):
 
 @pytest.mark.parametrize(
     "text, sign, scale, expected",
-    [("1,234", None, None, 1234), ("1.5", "-", "3", -1500), ("-2", "-", "0", 2), (" 7 ", None, "-1", 0.7), ("(5)", None, None, None)],
+    [
+        ("1,234", None, None, "1234"), ("1.5", "-", "3", "-1500"), ("-2", "-", "0", "2"), (" 7 ", None, "-1", "0.7"),
+        ("(5)", None, None, None), ("5d", None, None, None), ("NaN", None, None, None), ("1e3", None, None, None),
+        ("1", None, "40", None), ("12345678901234567890.25", None, "3", "12345678901234567890250"), ("7", None, "x", "7"),
+    ],
 )
 def test_scaled_numbers(spark, text, sign, scale, expected):
     df = spark.createDataFrame([(text, sign, scale)], "t string, s string, k string")
     got = df.select(X.scaled_number(F.col("t"), F.col("s"), F.col("k"))).first()[0]
-    assert got == (None if expected is None else pytest.approx(expected))
+    assert got == (None if expected is None else Decimal(expected))
 
 
 def test_code_lists(spark):

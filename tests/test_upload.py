@@ -50,10 +50,10 @@ def test_type_inference(spark, values, expected):
 @pytest.mark.parametrize(
     "text, message",
     [
-        ("a,b\n1,2\n3\n", r"row 3 has a different number of data points \(1\) than there are column headers \(2\)"),
-        ("a,b\n1,2,3\n3,4\n", r"row 2 has a different number of data points \(3\)"),
-        ("a,B c\n1,2\n", r'Invalid headers: "B c"'),
-        ("1a,b\n1,2\n", r'Invalid headers: "1a"'),
+        ("a,b\n1,2\n3\n", r"row 3 has 1 cells, but the header has 2"),
+        ("a,b\n1,2,3\n3,4\n", r"row 2 has 3 cells"),
+        ("a,B c\n1,2\n", r'not valid: "B c"'),
+        ("1a,b\n1,2\n", r'not valid: "1a"'),
         ("", "no headers found"),
         (",\n1,2\n", "no headers found"),
         ("a,b\n", "no data found"),
@@ -84,12 +84,26 @@ def test_other_delimiters(spark, write):
 def test_line_breaks_inside_quotes(spark, write):
     rows = U.read_upload(spark, write('a,b\n1,"x\ny"\n2,z\n'), multi_line=True)
     assert sorted(tuple(r) for r in rows.collect()) == [("1", "x\ny"), ("2", "z")]
-    with pytest.raises(U.UploadError, match=r"row 3 has a different number of data points \(3\)"):
+    with pytest.raises(U.UploadError, match=r"row 3 has 3 cells"):
         U.read_upload(spark, write('a,b\n1,"x\ny"\n2,"z\n,",3\n'), multi_line=True)
-    with pytest.raises(U.UploadError, match=r"row 2 has a different number of data points \(1\)"):
+    with pytest.raises(U.UploadError, match=r"row 2 has 1 cells"):
         U.read_upload(spark, write('a,b\n1\n2,z\n'), multi_line=True)
 
 
+def test_line_breaks_and_encoding_are_found_out(spark, write):
+    text = 'a,b\n1,"x\ny"\n2,café €\n'
+    for data in (text.encode(), text.encode("cp1252")):
+        rows = U.read_upload(spark, write(data))
+        assert sorted(tuple(r) for r in rows.collect()) == [("1", "x\ny"), ("2", "café €")]
+    latin = U.read_upload(spark, write("a\né\n".encode("latin-1")), encoding="ISO-8859-1")
+    assert latin.first().a == "é"
+
+
+def test_types_come_from_all_rows(spark, write):
+    path = write("a\n" + "1\n" * 100_005 + "x\n")
+    assert U.profile_upload(spark, path).first().type == "text"
+
+
 def test_column_comparison():
     assert U.missing_columns(["a", "b", "c"], ["b"]) == ["a", "c"]
     assert U.reserved_columns(["id", "x", "data_source_row_id"]) == ["id", "data_source_row_id"]

@@ -17,6 +17,9 @@ IDENTIFIER = "^[a-z][a-z0-9_]*$"
 DATASET_NAME = r"^[a-zA-Z0-9_\.]+$"
 ACCOUNTS_DOCUMENT = r"^(Prod\d+_\d+)_([^_]+)_(\d{8})\.(html|xml)"
 
+PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)$"
+NUMBER_TYPE = "decimal(38,6)"
+
 # Spellings of a date, tried in order: numbers are month first unless that gives no date.
 DATE_FORMATS = [
     "yyyy-M-d", "yyyyMMdd", "yyyy/M/d", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss",
@@ -101,12 +104,15 @@ def document_name_parts(name: Column) -> dict[str, Column]:
 
 
 def scaled_number(text: Column, sign: Column, scale: Column, strip_prefix: bool = False) -> Column:
-    """A reported number: thousands separators dropped, negated by a ``-`` sign, shifted by ``scale`` digits."""
+    """A reported number as a decimal: thousands separators dropped, negated by a ``-`` sign, shifted by ``scale``
+    digits. Anything but digits, a sign and a point is no number."""
     if strip_prefix:
         text = F.regexp_replace(text, ".*: ", "")
-    digits = F.replace(F.trim(text), F.lit(","), F.lit("")).try_cast("double")
-    factor = F.pow(F.lit(10.0), F.coalesce(scale.try_cast("int"), F.lit(0)).cast("double"))
-    return F.when(sign == "-", -digits).otherwise(digits) * factor
+    digits = F.replace(F.trim(text), F.lit(","), F.lit(""))
+    shift = F.when(scale.rlike(r"^\s*[+-]?\d{1,4}\s*$"), F.trim(scale)).otherwise(F.lit("0"))
+    # The exponent shifts the decimal point, so no digit is lost; what does not fit is NULL.
+    number = F.when(digits.rlike(PLAIN_NUMBER), F.concat(digits, F.lit("e"), shift).try_cast(NUMBER_TYPE))
+    return F.when(sign == "-", -number).otherwise(number)
 
 
 def free_date(text: Column, formats: list[str] = DATE_FORMATS) -> Column:
@@ -144,6 +150,11 @@ def clean_value(text: Column) -> Column:
     return F.replace(F.replace(tidy, F.lit("\n"), F.lit(" ")), F.lit('"'), F.lit(""))
 
 
+def joined_allowed(values: Column, allowed: list[str]) -> Column:
+    """The allowed values among those of an array, each once, sorted and joined by semicolons."""
+    return F.array_join(F.array_sort(F.array_intersect(F.array(*map(F.lit, allowed)), values)), ";")
+
+
 def name_date(name: Column, pattern: str, date_format: str, group: int = 1) -> Column:
     """Date found in a file name by ``pattern``; month names match in any case.
 

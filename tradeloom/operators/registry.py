@@ -18,12 +18,12 @@ UPLOAD_PROGRESS = {
     "uploading": 10,
     "uploaded": 20,
     "verified": 30,
-    "processing_dss": 40,
+    "processing_store": 40,
     "processing_dataflow": 70,
     "completed": 100,
     "failed": 100,
 }
-RUNNING_STATES = ["verified", "processing_dss", "processing_dataflow"]
+RUNNING_STATES = ["verified", "processing_store", "processing_dataflow"]
 STALE_MESSAGE = "The run did not complete within {hours} hours and was marked as failed."
 
 

@@ -197,7 +197,7 @@ def typed_text(kind: Column, clean: Column) -> Column:
 
 def typed_number(kind: Column, clean: Column, sign: Column, scale: Column) -> Column:
     bare = F.when(kind == "prefixed", F.regexp_replace(clean, ".*: ", "")).when(kind == "number", clean)
-    return X.scaled_number(bare, sign, scale).cast(SQL_TYPES["number"])
+    return X.scaled_number(bare, sign, scale)
 
 
 def candidate_values(elements: DataFrame, rules: DataFrame) -> DataFrame:
@@ -229,6 +229,7 @@ def candidate_values(elements: DataFrame, rules: DataFrame) -> DataFrame:
             "doc", "position", "context", "attribute", "general", "priority",
             typed_text(F.col("type"), F.col("clean")).alias("value"),
             typed_number(F.col("type"), F.col("clean"), F.col("sign"), F.col("scale")).alias("number"),
+            F.col("type").isin("number", "prefixed").alias("numeric"), "clean",
         )
     )
 
@@ -265,12 +266,17 @@ def general_values(candidates: DataFrame, attributes: list[str]) -> DataFrame:
     )
 
 
+def period_date(column: str) -> Column:
+    """A date of a context; one that cannot be read is NULL and reported by ``document_errors``."""
+    return F.trim(column).try_cast("date")
+
+
 def accounts_rows(elements: DataFrame, rules: DataFrame) -> DataFrame:
     """Wide rows; a document without any period still gives one row."""
     namespaces = (
         elements.where((F.col("kind") == "namespace") & F.col("text").isin(TAXONOMIES))
         .groupBy("doc")
-        .agg(F.array_join(F.array_sort(F.collect_set("text")), ";").alias("taxonomy"))
+        .agg(X.joined_allowed(F.collect_set("text"), TAXONOMIES).alias("taxonomy"))
     )
     contexts = (
         elements.where("kind = 'context'")
@@ -290,16 +296,17 @@ def accounts_rows(elements: DataFrame, rules: DataFrame) -> DataFrame:
         .select(
             *[names[c].alias(c) for c in NAME_COLUMNS],
             F.coalesce("taxonomy", F.lit("")).alias("taxonomy"),
-            F.to_date(F.trim("period_start")).alias("period_start"),
-            F.to_date(F.trim("period_end")).alias("period_end"),
-            *[F.col(c).cast(SQL_TYPES[kind]).alias(c) for c, (kind, _) in GENERAL_RULES.items()],
+            period_date("period_start").alias("period_start"),
+            period_date("period_end").alias("period_end"),
+            *[F.col(c).try_cast(SQL_TYPES[kind]).alias(c) for c, (kind, _) in GENERAL_RULES.items()],
             *[F.col(c) for c in PERIOD_RULES],
         )
     )
 
 
 def document_errors(elements: DataFrame, rules: DataFrame) -> DataFrame:
-    """``(doc, message)``: unreadable documents, odd names and elements with an undefined context."""
+    """``(doc, message)``: unreadable documents and dates, odd names, elements with an undefined context, and numbers
+    that cannot be read."""
     broken = elements.where("kind = 'error'").select("doc", F.col("text").alias("message"))
     odd = (
         elements.select("doc").distinct().where(~F.col("doc").rlike(X.ACCOUNTS_DOCUMENT))
@@ -313,10 +320,27 @@ def document_errors(elements: DataFrame, rules: DataFrame) -> DataFrame:
         .join(contexts, ["doc", "context"], "left_anti")
         .select("doc", F.concat(F.lit("undefined context "), F.col("context")).alias("message"))
     )
-    return broken.unionByName(odd).unionByName(undefined)
+    days = F.explode(F.array("period_start", "period_end"))
+    dates = (
+        elements.where("kind = 'context'").select("doc", "tag", days.alias("day"))
+        .where(F.col("day").isNotNull() & F.trim("day").try_cast("date").isNull()).distinct()
+        .select("doc", F.concat(F.lit("unreadable date "), F.col("day"), F.lit(" in context "), F.coalesce("tag", F.lit(""))).alias("message"))
+    )
+    numbers = (
+        candidate_values(elements, rules)
+        .where(F.col("numeric") & F.col("clean").isNotNull() & F.col("number").isNull())
+        .select("doc", F.concat(F.lit("unreadable number "), F.col("clean"), F.lit(" for "), F.col("attribute")).alias("message"))
+        .distinct()
+    )
+    return broken.unionByName(odd).unionByName(undefined).unionByName(dates).unionByName(numbers)
 
 
-def read_accounts(spark: SparkSession, path: str) -> DataFrame:
-    """Accounts of all archives under ``path``. Elements are written once, as four branches read them."""
+def read_accounts_with_errors(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Accounts of all archives under ``path``, and what could not be read. Elements are written once for all branches."""
     elements = materialize(read_elements(archive_documents(spark, path)), "accounts-elements")
-    return accounts_rows(elements, rule_table(spark))
+    rules = rule_table(spark)
+    return accounts_rows(elements, rules), document_errors(elements, rules)
+
+
+def read_accounts(spark: SparkSession, path: str) -> DataFrame:
+    return read_accounts_with_errors(spark, path)[0]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeloom.session import broadcast_checked
+
 # The countries every cube covers, ISO 3166 alpha-3 and numeric code.
 REQUIRED_COUNTRIES = """
 ABW 533, AFG 4, AGO 24, ALB 8, ARE 784, ARG 32, ARM 51, ATG 28, AUS 36, AUT 40, AZE 31, BDI 108,
@@ -68,7 +70,7 @@ def required_numbers(dictionary: DataFrame, required: DataFrame) -> DataFrame:
     """Distinct dictionary numbers of the required countries."""
     wanted = required.where("requirement").select("iso3")
     return (
-        dictionary.join(F.broadcast(wanted), "iso3", "left_semi")
+        dictionary.join(broadcast_checked(wanted), "iso3", "left_semi")
         .where("iso_number is not null")
         .select("iso_number")
         .distinct()
@@ -80,7 +82,7 @@ def eu_countries(
 ) -> DataFrame:
     """``(year, iso_number)`` of required countries that were members in that year."""
     wanted = required.where("requirement").select("iso3")
-    numbers = dictionary.join(F.broadcast(wanted), "iso3", "left_semi")
+    numbers = dictionary.join(broadcast_checked(wanted), "iso3", "left_semi")
     return (
         memberships.where((F.col("tariff_code") == EU_CODE) & (F.col("year") >= first_year))
         .join(numbers, "iso3")

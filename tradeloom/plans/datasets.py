@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tradeloom.functions import text as X
 from tradeloom.operators.keyed import latest_revision
 from tradeloom.operators.lifecycle import unpivot_years
-from tradeloom.plans.accounts import ACCOUNTS_SCHEMA, read_accounts
+from tradeloom.plans.accounts import ACCOUNTS_SCHEMA, read_accounts, read_accounts_with_errors
 from tradeloom.sources.archives import archive_lines, member_date, tab_fields
 from tradeloom.sources.delimited import read_delimited, read_without_empty_quotes
 from tradeloom.spec import INCREMENTAL, SNAPSHOT, DatasetSpec
@@ -194,7 +194,10 @@ EU_MEMBERSHIP = DatasetSpec(
 
 # --- company accounts ------------------------------------------------------------------------------
 
-ACCOUNTS = DatasetSpec("companies_house", "accounts_legacy", INCREMENTAL, ACCOUNTS_SCHEMA, read_accounts)
+ACCOUNTS = DatasetSpec(
+    "companies_house", "accounts_legacy", INCREMENTAL, ACCOUNTS_SCHEMA, read_accounts,
+    read_with_errors=read_accounts_with_errors,
+)
 
 ALL = {
     spec.id: spec

@@ -9,8 +9,33 @@ from tradeloom.functions.text import name_date
 
 REFRESH_DAYS = 1
 
-# An anchor's link target, quoted either way.
-ANCHOR = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']+)["']"""
+# Comments, which hold no links, and an anchor's target in double quotes, single quotes or none.
+COMMENT = r"(?s)<!--.*?(?:-->|$)"
+ANCHOR = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+# Character references in link targets; the ampersand itself comes last, so nothing is decoded twice.
+ENTITIES = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&#x27;", "'"), ("&#34;", '"'),
+    ("&#x22;", '"'), ("&#47;", "/"), ("&#x2F;", "/"), ("&#38;", "&"), ("&#x26;", "&"), ("&amp;", "&"),
+]
+
+
+def without_dot_segments(url: Column) -> Column:
+    """``.`` and ``..`` in the path of an absolute URL are followed; above the root there is nothing."""
+    host = F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
+    tail = F.regexp_extract(url, r"([?#].*)$", 1)
+    parts = F.split(path, "/")
+    folded = F.aggregate(
+        F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
+        F.array().cast("array<string>"),
+        lambda kept, part: F.when(part == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0))))
+        .when(part == ".", kept)
+        .otherwise(F.concat(kept, F.array(part))),
+    )
+    folder = F.when(path.rlike(r"/\.\.?$") & (F.size(folded) > 0), F.lit("/")).otherwise(F.lit(""))
+    folded = F.concat(F.lit("/"), F.array_join(folded, "/"), folder)
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(host, folded, tail)).otherwise(url)
 
 
 def absolute_url(base: Column, link: Column) -> Column:
@@ -21,7 +46,7 @@ def absolute_url(base: Column, link: Column) -> Column:
     folder = F.when(page.rlike(r"^[a-z]+://[^/]+$"), F.concat(page, F.lit("/"))).otherwise(
         F.regexp_replace(page, r"[^/]*$", "")
     )
-    return (
+    return without_dot_segments(
         F.when(link.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(scheme, link))
         .when(link.startswith("/"), F.concat(host, link))
@@ -35,10 +60,14 @@ def harvest_links(
     pages: DataFrame, pattern: str, date_format: str | None = None, group: int = 1, url: str = "url", html: str = "html"
 ) -> DataFrame:
     """Every anchor whose target matches ``pattern``: page columns plus ``link`` and its ``date``."""
-    found = pages.select(
+    anchors = pages.select(
         *[c for c in pages.columns if c != html],
-        F.explode(F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(1))).alias("href"),
-    ).where(F.col("href").rlike(f"^(?:{pattern})"))
+        F.explode(F.regexp_extract_all(F.regexp_replace(html, COMMENT, ""), F.lit(ANCHOR), F.lit(0))).alias("_anchor"),
+    )
+    target = F.concat(*(F.regexp_extract("_anchor", ANCHOR, i) for i in (1, 2, 3)))
+    for written, character in ENTITIES:
+        target = F.replace(target, F.lit(written), F.lit(character))
+    found = anchors.withColumn("href", target).drop("_anchor").where(F.col("href").rlike(f"^(?:{pattern})"))
     date = F.lit(None).cast("date") if date_format is None else name_date(F.col("href"), pattern, date_format, group)
     return found.select("*", absolute_url(F.col(url), F.col("href")).alias("link"), date.alias("date"))
 

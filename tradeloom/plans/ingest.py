@@ -26,7 +26,12 @@ def load_file(spec: DatasetSpec, store: LayerStore, path: str, file_name: str |
     """Bring one file into both layers. ``force`` starts both layers over with this file."""
     spark = store.spark
     file_name = file_name or path.rstrip("/").rsplit("/", 1)[-1]
-    rows = spec.read(spark, path)
+    if spec.read_with_errors is None:
+        rows = spec.read(spark, path)
+    else:
+        rows, errors = spec.read_with_errors(spark, path)
+        # Before the data, and once per file: a file that is loaded never lacks its report.
+        store.append(layer(spec, "errors"), errors.withColumn("datafile_created", F.lit(file_name)), file_name, replaces=True)
     if spec.mode == SNAPSHOT:
         _load_snapshot(spec, store, rows, file_name, force)
     elif spec.mode == REPLACE:
@@ -60,14 +65,26 @@ def _load_snapshot(spec: DatasetSpec, store: LayerStore, rows: DataFrame, file_n
 
 def _load_incremental(spec: DatasetSpec, store: LayerStore, rows: DataFrame, file_name: str, force: bool) -> None:
     l0_name, l1_name = layer(spec, "L0"), layer(spec, "L1")
-    write = store.publish if force else store.append
-    known = store.read(l0_name) if store.exists(l0_name) and not force else None
-    top = 0 if known is None else known.agg(F.max("id")).first()[0] or 0
-    l0 = write(l0_name, L.append_file(known, rows, file_name), file_name)
+    if force:
+        fresh = store.publish(l0_name, L.append_file(None, rows, file_name), file_name)
+    else:
+        # A retry after a failure further on puts its rows in the place of those of the failed attempt.
+        retried = not _finished(store, spec, file_name)
+        known = store.read(l0_name) if store.exists(l0_name) else None
+        fresh = store.append_and_read(l0_name, L.append_file(known, rows, file_name), file_name, replaces=retried)
     if spec.l1_columns:
-        fresh = l0.where(F.col("id") > top)
         known_l1 = store.read(l1_name) if store.exists(l1_name) and not force else None
-        write(l1_name, L.incremental_l1(fresh, known_l1, spec.l1_columns, spec.transforms()), file_name)
+        added = L.incremental_l1(fresh, known_l1, spec.l1_columns, spec.transforms())
+        if force:
+            store.publish(l1_name, added, file_name)
+        else:
+            store.append(l1_name, added, file_name, replaces=retried)
+
+
+def _finished(store: LayerStore, spec: DatasetSpec, file_name: str) -> bool:
+    """Whether the last recorded state of the file is an end, or it was never recorded: then loading it again is meant."""
+    states = registry(store).where((F.col("source") == spec.id) & (F.col("file_name") == file_name)).select("state").collect()
+    return not any(s.state in (R.PROCESSING, R.FAILED) for s in states)
 
 
 def registry(store: LayerStore) -> DataFrame:

@@ -7,9 +7,11 @@ key, its checks and its references.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradeloom.operators.quality import ForeignKey, TableRules, table_report
 from tradeloom.operators.store import LayerStore
+from tradeloom.session import materialize
 from tradeloom.sources.delimited import read_by_name
 
 
@@ -48,12 +50,12 @@ RETURN_CONTROLS = "'A', 'P', 'C'"
 END_USER_CONTROLS = "'A', 'P', 'C', 'D'"
 RETURN_LICENCES = "'OGEL', 'OIEL', 'OITCL'"
 
-SUB_TYPE_FITS = f"""
-    (case_type = 'SIEL' and case_sub_type in ({SIEL_SUB_TYPES}))
-    or (case_type = 'OIEL' and case_sub_type in ({OIEL_SUB_TYPES}))
-    or (case_type in ({PLAIN_CASE_TYPES}) and case_sub_type is null)"""
-OPEN_WHEN_CURRENT = """
-    (status_control = 'C' and end_datetime is null) or (status_control is null and end_datetime is not null)"""
+# Two case types have sub types of their own, the others have none.
+SUB_TYPE_FITS = f"""case case_type when 'SIEL' then case_sub_type in ({SIEL_SUB_TYPES})
+    when 'OIEL' then case_sub_type in ({OIEL_SUB_TYPES})
+    else case_sub_type is null and case_type in ({PLAIN_CASE_TYPES}) end"""
+# A record without an end is the current one; an ended one has no control any more.
+OPEN_WHEN_CURRENT = "if(end_datetime is null, status_control = 'C', status_control is null)"
 
 
 def _only_for(column: str, value: str, other: str) -> str:
@@ -81,10 +83,11 @@ TABLES = [
         "id",
         {
             "status": f"status in ({BATCH_STATUSES})",
-            "dates": """
-                (batch_ref like 'C%' and start_date is null and end_date is null)
-                or (batch_ref not like 'C%' and start_date is not null and date_trunc('DAY', start_date) = start_date
-                    and end_date is not null and date_trunc('DAY', end_date) = end_date and start_date <= end_date)""",
+            # Corrections (C...) cover no days; every other batch covers whole days, the last not before the first.
+            "dates": """case when batch_ref like 'C%' then coalesce(start_date, end_date) is null
+                when batch_ref is not null then coalesce(
+                    datediff(end_date, start_date) >= 0 and start_date = to_date(start_date) and end_date = to_date(end_date),
+                    false) end""",
         },
     ),
     _table("country_groups", "id int", "id"),
@@ -201,7 +204,7 @@ TABLES = [
             "status": f"status in ({INCIDENT_STATUSES})",
             "version": "version_no >= 0",
             "general licence": _only_for("case_type", "OGEL", "ogl_id"),
-            "refusal": "(type != 'REFUSAL' and licence_id is not null) or (type = 'REFUSAL' and licence_id is null)",
+            "refusal": "(type = 'REFUSAL') = (licence_id is null)",
             "suspension": _only_for("type", "SUSPENSION", "else_id"),
             "type": f"type in ({INCIDENT_TYPES})",
             "case type": f"case_type in ({CASE_TYPES})",
@@ -250,12 +253,51 @@ BY_NAME = {t.name: t for t in TABLES}
 def load_table(spark: SparkSession, store: LayerStore, name: str, path: str, header_map: dict[str, str] | None = None) -> DataFrame:
     """Read a file by header names, check it with the rows already loaded, and add it as a whole or not at all."""
     rules = BY_NAME[name]
-    rows = read_by_name(spark, path, rules.schema, header_map)
+    # Typed once; the checks and the load read the same rows.
+    rows = materialize(read_by_name(spark, path, rules.schema, header_map), f"licensing-{name}")
     existing = store.read_or_empty(name, rules.schema)
     parents = {fk.parent: store.read_or_empty(fk.parent, BY_NAME[fk.parent].schema) for fk in rules.foreign_keys}
-    report = table_report(rows, rules, parents, existing)
-    problems = report.limit(5).collect()
-    if problems:
-        shown = "; ".join(f"{p.kind} ({p.rule}) at {p.key}" for p in problems)
-        raise LoadRejected(f"{name}: {shown}")
-    return store.append(name, rows, label=path.rsplit("/", 1)[-1])
+    label = path.rstrip("/").rsplit("/", 1)[-1]
+    report = materialize(table_report(rows, rules, parents, existing), f"licensing-report-{name}")
+    if not report.isEmpty():
+        store.publish(f"{name}_report", report, label)
+        kinds = report.groupBy("kind", "rule").agg(F.count("*").alias("n"), F.min("key").alias("key")).orderBy("kind", "rule").collect()
+        shown = "; ".join(f"{k.n} x {k.kind} ({k.rule}), first at {k.key}" for k in kinds)
+        raise LoadRejected(f"{name}: {shown}; all of them are in {name}_report")
+    return store.append(name, rows, label)
+
+
+def load_order() -> list[str]:
+    """The tables, each after those that it refers to."""
+    order: list[str] = []
+
+    def visit(name: str) -> None:
+        if name not in order:
+            for fk in BY_NAME[name].foreign_keys:
+                if fk.parent != name:
+                    visit(fk.parent)
+            order.append(name)
+
+    for table in TABLES:
+        visit(table.name)
+    return order
+
+
+def load_group(
+    spark: SparkSession, store: LayerStore, files: dict[str, str], record, header_maps: dict[str, dict[str, str]] | None = None
+) -> dict[str, str]:
+    """Load one file per table in the order of their references; ``record(table, file, state, message)`` is called before
+    and after each. A table that is rejected does not stop the others. Returns the message of each rejected table."""
+    failed: dict[str, str] = {}
+    for name in load_order():
+        if name in files:
+            file_name = files[name].rstrip("/").rsplit("/", 1)[-1]
+            record(name, file_name, "processing", None)
+            try:
+                load_table(spark, store, name, files[name], (header_maps or {}).get(name))
+            except Exception as e:
+                failed[name] = str(e)
+                record(name, file_name, "failed", str(e))
+            else:
+                record(name, file_name, "processed", None)
+    return failed

@@ -45,6 +45,10 @@ MEASURES = [
 CUBE_COLUMNS = ["product", "reporter", "partner", "year", *MEASURES]
 
 
+# Rows of the cube that a task builds.
+CELLS_PER_TASK = 2_000_000
+
+
 def dimension(df: DataFrame, name: str) -> DataFrame:
     """A short list that joins read: written once, broadcast while it is small."""
     return broadcast_checked(materialize(df, name))
@@ -270,7 +274,7 @@ def _reporter_years(
     )
 
 
-def _reporter_partners(products: DataFrame, observed: DataFrame, numbers: DataFrame) -> DataFrame:
+def _reporter_partners(products: DataFrame, observed: DataFrame, numbers: DataFrame, parts: int) -> DataFrame:
     """One row per (product, reporter, partner) with its observations as a map from year.
 
     The grid keys and the observations are brought together by one aggregation over a partitioning by
@@ -301,7 +305,7 @@ def _reporter_partners(products: DataFrame, observed: DataFrame, numbers: DataFr
     )
     return (
         grid.unionByName(seen, allowMissingColumns=True)
-        .repartition("product", "reporter")
+        .repartition(parts, "product", "reporter")
         .groupBy("product", "reporter", "partner")
         .agg(F.collect_list("seen").alias("seen"))
         .select(
@@ -346,7 +350,10 @@ def tariff_cube(
         all_products, stats, observed, bound_statistics(bound_rates, listed), members, numbers, listed,
         (first_year, last_year),
     )
-    pairs = _reporter_partners(all_products, observed, numbers)
+    # The pairs are few bytes, but each becomes a row per year: the parts follow the size of the grid.
+    cells = all_products.count() * numbers.count() ** 2 * (last_year - first_year + 1)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-cells // CELLS_PER_TASK))
+    pairs = _reporter_partners(all_products, observed, numbers, parts)
     return _assume(pairs, years, members, listed, stats.schema["a_sum"].dataType)
 
 

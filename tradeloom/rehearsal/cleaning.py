@@ -22,10 +22,10 @@ def parse_yyyymm(t: Tables) -> DataFrame:
 
 @query(
     "clean_name",
-    "SELECT doc_id, lower(trim('  ' || split_part(text, ' ', 1) || ' LTD ')) AS name FROM documents",
+    "SELECT doc_id, lower(trim('  ' || text || ' LTD ')) AS name FROM documents",
 )
 def clean_name(t: Tables) -> DataFrame:
-    raw = F.concat(F.lit("  "), F.split_part("text", F.lit(" "), F.lit(1)), F.lit(" LTD "))
+    raw = F.concat(F.lit("  "), "text", F.lit(" LTD "))
     return t.documents.select("doc_id", X.clean_name(raw).alias("name"))
 
 
@@ -95,18 +95,19 @@ def row_hash(t: Tables) -> DataFrame:
     "null_token_substring",
     """SELECT doc_id, replace(replace(replace(replace(cell, 'NULL', ''), 'None', ''), 'N/A', ''), '''''', '') AS cleaned,
               CASE WHEN cell IN ('NULL', 'None', 'N/A', '''''') THEN '' ELSE cell END AS cleaned_cell
-    FROM (SELECT doc_id, CASE lang WHEN 'en' THEN 'None' || substr(text, 1, 20) WHEN 'de' THEN 'N/A' WHEN 'fr' THEN '''''' ELSE text END AS cell
-          FROM documents)""",
+    FROM (SELECT doc_id, unnest([CASE lang WHEN 'en' THEN 'None' || text WHEN 'de' THEN text || 'N/A' WHEN 'fr' THEN '''''' || text ELSE text || ' NULL' END,
+            CASE lang WHEN 'en' THEN 'None' WHEN 'de' THEN 'N/A' WHEN 'fr' THEN '''''' ELSE 'NULL' END]) AS cell FROM documents)""",
 )
 def null_token_substring(t: Tables) -> DataFrame:
+    """Every whole text with a token before or behind it, and the token alone."""
     lang = F.col("lang")
-    cell = (
-        F.when(lang == "en", F.concat(F.lit("None"), F.substring("text", 1, 20)))
-        .when(lang == "de", F.lit("N/A"))
-        .when(lang == "fr", F.lit("''"))
-        .otherwise(F.col("text"))
-    )
-    return t.documents.select(
+    token = F.when(lang == "en", "None").when(lang == "de", "N/A").when(lang == "fr", "''").otherwise("NULL")
+    inside = (
+        F.when(lang.isin("en", "fr"), F.concat(token, "text")).when(lang == "de", F.concat("text", token))
+        .otherwise(F.concat("text", F.lit(" "), token))
+    )
+    cell = F.col("cell")
+    return t.documents.select("doc_id", F.explode(F.array(inside, token)).alias("cell")).select(
         "doc_id", X.remove_null_tokens(cell).alias("cleaned"), X.remove_null_tokens(cell, whole_cell=True).alias("cleaned_cell")
     )
 
@@ -172,13 +173,15 @@ def strict_bool(t: Tables) -> DataFrame:
 
 @query(
     "clean_text_value",
-    r"""SELECT doc_id, CASE WHEN lang IN ('de', 'fr') THEN NULL ELSE replace(replace(regexp_replace(text, '^\s+|\s+$', '', 'g'), chr(10), ' '), '"', '') END AS value
-    FROM documents""",
+    r"""SELECT doc_id, replace(replace(regexp_replace(' ' || text || chr(10), '^\s+|\s+$', '', 'g'), chr(10), ' '), '"', '') AS value FROM documents
+    UNION ALL SELECT doc_id, NULL FROM documents WHERE lang IN ('de', 'fr')""",
 )
 def clean_text_value(t: Tables) -> DataFrame:
     """Whole texts on one line without quotes; blank and ``-`` are missing."""
-    cell = F.when(F.col("lang") == "de", F.lit(" - ")).when(F.col("lang") == "fr", F.lit(" \n")).otherwise(F.col("text"))
-    return t.documents.select("doc_id", X.clean_value(cell).alias("value"))
+    whole = t.documents.select("doc_id", F.concat(F.lit(" "), "text", F.lit("\n")).alias("cell"))
+    blank = F.when(F.col("lang") == "de", " - ").otherwise(" \n").alias("cell")
+    cells = whole.unionByName(t.documents.where("lang in ('de', 'fr')").select("doc_id", blank))
+    return cells.select("doc_id", X.clean_value(F.col("cell")).alias("value"))
 
 
 @query(

@@ -129,12 +129,26 @@ def xbrl_facts_pivot(t: Tables) -> DataFrame:
 
 @query(
     "harvest_links",
-    r"""SELECT page_id, href, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || href AS link, count(*) AS n FROM (
-      SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']+)["'']', 1)) AS href FROM pages)
-    WHERE regexp_matches(href, '^/[a-zA-Z]+$') GROUP BY ALL""",
+    r"""WITH p AS (SELECT page_id, html, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) AS host,
+      regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '') AS folder FROM pages),
+    own AS (SELECT page_id, host, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']+)["'']', 1)) AS href FROM p),
+    added AS (
+      SELECT page_id, '/Plain' AS href, host || '/Plain' AS link FROM p
+      UNION ALL SELECT page_id, '/Q?a=1&b=2', host || '/Q?a=1&b=2' FROM p
+      UNION ALL SELECT page_id, '../Up', CASE WHEN folder = host || '/' THEN folder ELSE regexp_replace(folder, '[^/]+/$', '') END || 'Up' FROM p
+      UNION ALL SELECT page_id, '/a/./b/../Down', host || '/a/Down' FROM p)
+    SELECT page_id, href, link, count(*) AS n FROM (
+      SELECT page_id, href, host || href AS link FROM own WHERE regexp_matches(href, '^/[a-zA-Z]+$') UNION ALL SELECT * FROM added)
+    GROUP BY ALL""",
 )
 def harvest_links(t: Tables) -> DataFrame:
-    links = harvest.harvest_links(t.pages.select("page_id", "url", "html"), "/[a-zA-Z]+$")
+    """Each page gets an unquoted link, one with a character reference, two with dot segments, and one in a comment."""
+    added = (
+        """<!-- <a href="/Hidden">no</a> --><a class=x href=/Plain>x</a><a href="/Q?a=1&amp;b=2">x</a>"""
+        """<a data-href="/Other" href='../Up'>x</a><a href="/a/./b/../Down">x</a>"""
+    )
+    pages = t.pages.select("page_id", "url", F.concat(F.lit(added), "html").alias("html"))
+    links = harvest.harvest_links(pages, r"(?:/[a-zA-Z]+|/Q\?a=1&b=2|\.\./Up|/a/\./b/\.\./Down)$")
     return links.groupBy("page_id", "href", "link").agg(F.count("*").alias("n"))
 
 

@@ -13,7 +13,9 @@ from tradeloom.plans import countries as C
 from tradeloom.plans import datasets as D
 from tradeloom.plans import tariff
 from tradeloom.rehearsal.registry import Tables, query
+from tradeloom.functions.text import joined_allowed
 from tradeloom.session import broadcast_checked
+from tradeloom.sources.upload import names_missing, names_reserved
 
 # --- projections and filters -----------------------------------------------------------------------
 
@@ -160,7 +162,7 @@ def coalesce_priority(t: Tables) -> DataFrame:
     )
 
 
-STATES = ["uploading", "uploaded", "verified", "processing_dss", "processing_dataflow", "completed", "failed", ""]
+STATES = ["uploading", "uploaded", "verified", "processing_store", "processing_dataflow", "completed", "failed", ""]
 
 
 @query(
@@ -400,11 +402,11 @@ def union_distinct(t: Tables) -> DataFrame:
 )
 def schema_missing_columns(t: Tables) -> DataFrame:
     """A user plays an uploaded dataset, an event type one of its columns: which did the latest version lose?"""
-    columns = t.events.select(F.col("user_id").alias("upload"), F.col("event_type").alias("missing"))
-    newest = t.events.where("ts >= timestamp '2024-01-20'").select(
-        F.col("user_id").alias("upload"), F.col("event_type").alias("missing")
+    newest = F.when(F.col("ts") >= F.lit("2024-01-20").cast("timestamp"), F.col("event_type"))
+    names = t.events.groupBy(F.col("user_id").alias("upload")).agg(
+        F.collect_set("event_type").alias("latest"), F.collect_set(newest).alias("uploaded")
     )
-    return columns.distinct().join(newest.distinct(), ["upload", "missing"], "left_anti")
+    return names.select("upload", F.explode(names_missing(F.col("latest"), F.col("uploaded"))).alias("missing"))
 
 
 @query(
@@ -413,17 +415,13 @@ def schema_missing_columns(t: Tables) -> DataFrame:
        WHERE event_type IN ('click', 'view')""",
 )
 def reserved_columns(t: Tables) -> DataFrame:
-    from tradeloom.spec import RESERVED_COLUMNS
-
     first = (
         F.when(F.col("event_type") == "click", F.lit("id"))
         .when(F.col("event_type") == "view", F.lit("datafile_created"))
         .otherwise(F.col("event_type"))
     )
     header = F.array(first, F.lit("value"), F.lit("props"))
-    return t.events.select(
-        "event_id", F.explode(F.array_intersect(header, F.array(*map(F.lit, RESERVED_COLUMNS)))).alias("reserved")
-    )
+    return t.events.select("event_id", F.explode(names_reserved(header)).alias("reserved"))
 
 
 @query(
@@ -433,9 +431,8 @@ def reserved_columns(t: Tables) -> DataFrame:
 )
 def taxonomy_intersect(t: Tables) -> DataFrame:
     """Allowed values present in a document, sorted and joined."""
-    allowed = F.array(*map(F.lit, ["the", "and", "der", "la", "de"]))
     words = F.split(F.lower("text"), " ")
-    return t.documents.select("doc_id", F.array_join(F.array_sort(F.array_intersect(allowed, words)), ";").alias("taxonomy"))
+    return t.documents.select("doc_id", joined_allowed(words, ["the", "and", "der", "la", "de"]).alias("taxonomy"))
 
 
 @query(

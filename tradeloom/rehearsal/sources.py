@@ -73,13 +73,13 @@ def scan_csv_cp1252(t: Tables) -> DataFrame:
 @query(
     "scan_tab_lines",
     """WITH parts AS (SELECT doc_id, string_split(replace(text, '"', ''), ' ') AS p FROM documents)
-    SELECT doc_id, p[1] AS f1, p[4] AS f4, p[9] AS f9, array_to_string(list_filter(p[10:], lambda x: x <> ''), ',') AS rest
+    SELECT doc_id, p[1] AS f1, p[2] AS f2, p[3] AS f3, p[4] AS f4, p[5] AS f5, p[6] AS f6, p[7] AS f7, p[8] AS f8, p[9] AS f9, array_to_string(list_filter(p[10:], lambda x: x <> ''), ',') AS rest
     FROM parts WHERE len(p) >= 10""",
 )
 def scan_tab_lines(t: Tables) -> DataFrame:
     names = [f"f{i}" for i in range(1, 10)]
     fields = tab_fields(t.documents.select("doc_id", F.col("text").alias("line")), names, "rest", sep=" ")
-    return fields.select("doc_id", "f1", "f4", "f9", "rest")
+    return fields.select("doc_id", *names, "rest")
 
 
 @query(
@@ -165,7 +165,7 @@ def infer_types_query(t: Tables) -> DataFrame:
 )
 def csv_profile(t: Tables) -> DataFrame:
     """The first rows by key, and types from every row."""
-    found = profile(upload_columns(t).select("key", "day", "moment"), order_by="key", infer_rows=None)
+    found = profile(upload_columns(t).select("key", "day", "moment"), order_by="key")
     return found.select("column", "type", F.array_join("samples", "|").alias("samples"))
 
 

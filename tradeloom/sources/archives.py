@@ -16,16 +16,14 @@ BATCH_LINES = 20_000
 
 
 def members(content: bytes) -> Iterator[tuple[str, Callable[[], io.BufferedIOBase]]]:
-    """Files of an archive; of a nested archive only its first file is used."""
-    outer = zipfile.ZipFile(io.BytesIO(content))
-    for name in outer.namelist():
-        if name.endswith("/"):
-            continue
-        if name.endswith(".zip"):
-            inner = zipfile.ZipFile(io.BytesIO(outer.read(name)))
-            yield f"{name}/{inner.namelist()[0]}", lambda z=inner: z.open(z.namelist()[0])
-        else:
-            yield name, lambda n=name: outer.open(n)
+    """All files of an archive and of the archives inside it, to any depth."""
+    archive = zipfile.ZipFile(io.BytesIO(content))
+    for name in archive.namelist():
+        if name.lower().endswith(".zip"):
+            for inner, opened in members(archive.read(name)):
+                yield f"{name}/{inner}", opened
+        elif not name.endswith("/"):
+            yield name, lambda n=name: archive.open(n)
 
 
 def _archives(spark: SparkSession, path: str) -> DataFrame:
@@ -60,7 +58,9 @@ def archive_lines(spark: SparkSession, path: str, charset: str = "utf-8", wanted
                                 lines = []
                         yield pd.DataFrame({"file": file, "member": member, "line": lines}).astype(str)
 
-    return _archives(spark, path).mapInPandas(read, "file string, member string, line string")
+    lines = _archives(spark, path).mapInPandas(read, "file string, member string, line string")
+    # One task unpacks an archive; what follows is spread over all of them.
+    return lines.hint("rebalance")
 
 
 def archive_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -68,8 +68,11 @@ def read_by_name(
     header_map: dict[str, str] | None = None,
     null_tokens: list[str] = TABLE_NULL_TOKENS,
 ) -> DataFrame:
-    """Columns by header name; null tokens fill a whole cell; unknown headers and bad values are errors."""
-    texts = spark.read.option("header", True).option("escape", '"').option("nullValue", "\u0000").csv(path)
+    """Columns by header name; null tokens fill a whole cell; unknown headers, rows of another length than the header
+    and bad values are errors."""
+    reader = spark.read.option("header", True).option("escape", '"').option("nullValue", "\u0000")
+    # Without pruning the reader sees every cell, and so every row that is too long or too short.
+    texts = reader.option("mode", "FAILFAST").option("columnPruning", False).csv(path)
     struct = T.StructType.fromDDL(schema)
     if header_map is not None:
         missing = [c for c in texts.columns if c not in header_map]

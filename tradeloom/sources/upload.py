@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradeloom.functions.charset import from_latin
 from tradeloom.functions.text import IDENTIFIER, remove_null_tokens
-from tradeloom.sources.delimited import cell_count, file_lines, ragged_rows
+from tradeloom.sources.delimited import LATIN, cell_count, file_lines, ragged_rows
 from tradeloom.spec import RESERVED_COLUMNS, UPLOAD_TYPES
 
 SAMPLE_ROWS = 4
-INFER_ROWS = 100_000
 
 # Spellings of each type, tried in this order; text fits everything.
 TYPE_PATTERNS = {
@@ -46,15 +46,24 @@ def unique_headers(headers: list[str]) -> list[str]:
 
 def check_headers(headers: list[str]) -> None:
     if not any(headers):
-        raise UploadError("no headers found. The first line of the csv should contain the column headers.")
+        raise UploadError("no headers found: the first row of the file has to name the columns")
     invalid = [h for h in headers if h and not re.match(IDENTIFIER, h)]
     if invalid:
         raise UploadError(
-            "column headers must start with a letter and may only contain lowercase letters, numbers, and "
-            f"underscores. Invalid headers: {', '.join(f'\"{h}\"' for h in invalid)}"
+            "a column name is a lowercase letter followed by lowercase letters, digits or underscores; "
+            f"not valid: {', '.join(f'\"{h}\"' for h in invalid)}"
         )
 
 
+def inspect_lines(spark: SparkSession, path: str, quote: str = '"') -> tuple[bool, bool]:
+    """Whether a quoted cell may contain line breaks (a line with an odd number of quotes), and whether the file is
+    UTF-8; both from one pass over all lines."""
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit(quote), F.lit("")))
+    row = spark.read.text(path).agg(F.bool_or(quotes % 2 == 1).alias("odd"), F.bool_and(F.is_valid_utf8(value)).alias("utf8")).first()
+    return bool(row.odd), row.utf8 is not False
+
+
 def read_header(spark: SparkSession, path: str, sep: str = ",", quote: str = '"') -> list[str]:
     first = spark.read.option("sep", sep).option("quote", quote).option("escape", quote).csv(path).limit(1).collect()
     return [] if not first else [(cell or "").strip() for cell in first[0]]
@@ -80,11 +89,12 @@ def first_ragged(spark: SparkSession, path: str, n_columns: int, sep: str, quote
     return ragged_rows(numbered, n_columns, sep, quote).orderBy("line_number").first()
 
 
-def _reader(spark: SparkSession, schema: T.StructType, sep: str, quote: str, multi_line: bool):
+def _reader(spark: SparkSession, schema: T.StructType, sep: str, quote: str, multi_line: bool, direct: bool = True):
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", True)
+        .option("encoding", "UTF-8" if direct else LATIN)
         .option("sep", sep)
         .option("quote", quote)
         .option("escape", quote)
@@ -99,23 +109,30 @@ def read_upload(
     sep: str = ",",
     quote: str = '"',
     whole_cell: bool = False,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
+    encoding: str | None = None,
 ) -> DataFrame:
     """Checked text columns of an upload: ragged rows fail, null tokens are blank, unnamed columns are ignored.
 
-    With ``multi_line`` quoted cells may contain line breaks; such a file is then read by one task.
+    Unless they are given, the file itself tells whether quoted cells contain line breaks (each such file is then read
+    by one task) and whether it is UTF-8; if it isn't, it is taken for Windows-1252.
     """
+    odd, utf8 = inspect_lines(spark, path, quote)
+    multi_line = odd if multi_line is None else multi_line
+    charset = encoding or ("UTF-8" if utf8 else "cp1252")
+    direct = charset.upper() in ("UTF-8", "UTF8", "ASCII")
     headers = read_header(spark, path, sep, quote)
     check_headers(headers)
     bad = first_ragged(spark, path, len(headers), sep, quote, multi_line)
     if bad is not None:
         raise UploadError(
-            f"row {bad.line_number} has a different number of data points ({bad.n_cells}) than there are column "
-            f"headers ({len(headers)})"
+            f"row {bad.line_number} has {bad.n_cells} cells, but the header has {len(headers)}"
         )
     names = unique_headers([h or f"unnamed{i}" for i, h in enumerate(headers)])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = _reader(spark, schema, sep, quote, multi_line).option("mode", "FAILFAST").csv(path)
+    rows = _reader(spark, schema, sep, quote, multi_line, direct).option("mode", "FAILFAST").csv(path)
+    if not direct and charset.upper() != LATIN:
+        rows = rows.select([from_latin(F.col(n), charset).alias(n) for n in names])
     kept = [n for n, h in zip(names, headers) if h]
     blank = lambda c: remove_null_tokens(F.coalesce(F.col(c), F.lit("")), whole_cell=whole_cell)
     return rows.select([blank(c).alias(c) for c in kept])
@@ -178,20 +195,19 @@ def sample_values(rows: DataFrame, n: int = SAMPLE_ROWS, order_by: str | None =
     return packed.select(F.inline(described))
 
 
-def profile(rows: DataFrame, order_by: str | None = None, infer_rows: int | None = INFER_ROWS) -> DataFrame:
-    """``(column, type, samples)`` of an upload, types from its first rows (all of them when ``None``)."""
-    scanned = rows if infer_rows is None else rows.limit(infer_rows)
+def profile(rows: DataFrame, order_by: str | None = None) -> DataFrame:
+    """``(column, type, samples)`` of an upload, types from all of its rows."""
     return (
-        infer_types(scanned)
+        infer_types(rows)
         .join(sample_values(rows, order_by=order_by), "column")
         .select("column", "type", "samples")
     )
 
 
-def profile_upload(spark: SparkSession, path: str, sep: str = ",", quote: str = '"') -> DataFrame:
-    rows = read_upload(spark, path, sep, quote)
+def profile_upload(spark: SparkSession, path: str, sep: str = ",", quote: str = '"', **options) -> DataFrame:
+    rows = read_upload(spark, path, sep, quote, **options)
     if rows.isEmpty():
-        raise UploadError("no data found")
+        raise UploadError("no data found below the header")
     return profile(rows)
 
 
@@ -202,6 +218,16 @@ def apply_types(rows: DataFrame, types: dict[str, str]) -> DataFrame:
     )
 
 
+def names_missing(latest: Column, uploaded: Column) -> Column:
+    """Sorted names of the latest version that an upload lacks, from arrays of names."""
+    return F.array_sort(F.array_except(latest, uploaded))
+
+
+def names_reserved(uploaded: Column) -> Column:
+    """Names in an upload that are reserved."""
+    return F.array_intersect(uploaded, F.array(*map(F.lit, RESERVED_COLUMNS)))
+
+
 def missing_columns(latest: list[str], uploaded: list[str]) -> list[str]:
     """Columns of the latest version that the upload lacks."""
     return sorted(set(latest) - set(uploaded))

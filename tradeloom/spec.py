@@ -30,7 +30,8 @@ class DatasetSpec:
     ``read`` turns one file into rows of ``l0_schema``. ``transforms`` returns the expression over L0 of each
     L1 column that is not simply copied (a function, because columns exist only within a session). ``hash_columns`` limits what makes a row new in a snapshot.
     ``to_l1`` replaces the projection for datasets whose second layer is not row by row; with ``repeats_source``
-    it yields several rows per L0 row, which are added again when a file name is loaded again.
+    it yields several rows per L0 row, which are added again when a file name is loaded again. ``read_with_errors``
+    replaces ``read`` for datasets that report what they could not read; a load keeps the report beside the layers.
     """
 
     organisation: str
@@ -45,6 +46,7 @@ class DatasetSpec:
     repeats_source: bool = False
     delete_previous: bool = False
     requires: tuple[str, ...] = ()
+    read_with_errors: Callable[[SparkSession, str], tuple[DataFrame, DataFrame]] | None = None
 
     @property
     def id(self) -> str:
