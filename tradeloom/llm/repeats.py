@@ -435,9 +435,10 @@ def repeats(
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *carry)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shuffled = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (8 * GROUP_BYTES)))
-    groups = 8 * max(shuffled, -(-total // (8 * GROUP_BYTES)))
-    ranges = max(1, total // 16 // RANGE_PIECES, 2 * shuffled)
+    # Groups and key ranges follow the bytes alone: their product is the number of messages.
+    groups = max(2 * spark.sparkContext.defaultParallelism, -(-total // GROUP_BYTES))
+    shuffled = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-groups // 4))
+    ranges = max(8, total // 16 // RANGE_PIECES)
     # The one shuffle of texts; its three readers share it.
     dealt = rows.select(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(groups)).cast("int").alias("g"), "doc_id", "text", *carry)
     dealt = dealt.repartition(shuffled, "g")
