@@ -33,7 +33,12 @@ def _archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def archive_lines(spark: SparkSession, path: str, charset: str = "utf-8", wanted: str | None = None) -> DataFrame:
-    """``(file, member, line)`` for every text line of every archive under ``path``.
+    """``(file, member, line)`` for every text line of every archive under ``path``."""
+    return lines_of(_archives(spark, path), charset, wanted)
+
+
+def lines_of(archives: DataFrame, charset: str = "utf-8", wanted: str | None = None) -> DataFrame:
+    """The lines of archives given as ``(file, content)``.
 
     With ``wanted`` only members whose path matches are opened, and an archive without one fails the read.
     """
@@ -58,13 +63,18 @@ def archive_lines(spark: SparkSession, path: str, charset: str = "utf-8", wanted
                                 lines = []
                         yield pd.DataFrame({"file": file, "member": member, "line": lines}).astype(str)
 
-    lines = _archives(spark, path).mapInPandas(read, "file string, member string, line string")
+    lines = archives.select("file", "content").mapInPandas(read, "file string, member string, line string")
     # One task unpacks an archive; what follows is spread over all of them.
     return lines.hint("rebalance")
 
 
 def archive_documents(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, document, content)`` for every file inside the archives, spread over all tasks."""
+    """``(file, document, content)`` for every file inside the archives under ``path``, spread over all tasks."""
+    return documents_of(_archives(spark, path))
+
+
+def documents_of(archives: DataFrame) -> DataFrame:
+    """The files inside archives given as ``(file, content)``."""
 
     def read(batches):
         for batch in batches:
@@ -74,7 +84,7 @@ def archive_documents(spark: SparkSession, path: str) -> DataFrame:
                         document = member.rsplit("/", 1)[-1]
                         yield pd.DataFrame({"file": [file], "document": [document], "content": [handle.read()]})
 
-    documents = _archives(spark, path).mapInPandas(read, "file string, document string, content binary")
+    documents = archives.select("file", "content").mapInPandas(read, "file string, document string, content binary")
     return documents.repartition("file", "document")
 
 
