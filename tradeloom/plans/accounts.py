@@ -174,13 +174,22 @@ def document_elements(doc: str, content: bytes) -> list[tuple]:
     return rows
 
 
+# Elements handed to Spark at a time.
+BATCH_ELEMENTS = 20_000
+
+
 def read_elements(documents: DataFrame) -> DataFrame:
     names = re.findall(r"(\w+) \w+(?:,|$)", ELEMENT_SCHEMA)
 
     def parse(batches):
         for batch in batches:
+            rows: list[tuple] = []
             for doc, content in zip(batch["document"], batch["content"]):
-                yield pd.DataFrame(document_elements(doc, content), columns=names, dtype=object)
+                rows += document_elements(doc, content)
+                if len(rows) > BATCH_ELEMENTS:
+                    yield pd.DataFrame(rows, columns=names, dtype=object)
+                    rows = []
+            yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return documents.select("document", "content").mapInPandas(parse, ELEMENT_SCHEMA)
 

@@ -11,8 +11,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Lines handed to Spark at a time.
+# Lines, and bytes of documents, handed to Spark at a time.
 BATCH_LINES = 20_000
+BATCH_BYTES = 4 << 20
 
 
 def members(content: bytes) -> Iterator[tuple[str, Callable[[], io.BufferedIOBase]]]:
@@ -50,18 +51,18 @@ def lines_of(archives: DataFrame, charset: str = "utf-8", wanted: str | None = N
         return found
 
     def read(batches):
+        names = ["file", "member", "line"]
         for batch in batches:
+            lines: list[tuple[str, str, str]] = []
             for file, content in zip(batch["file"], batch["content"]):
                 for member, opened in chosen(file, content):
                     with opened() as handle:
-                        text = io.TextIOWrapper(handle, encoding=charset, newline=None)
-                        lines: list[str] = []
-                        for line in text:
-                            lines.append(line.rstrip("\n"))
+                        for line in io.TextIOWrapper(handle, encoding=charset, newline=None):
+                            lines.append((file, member, line.rstrip("\n")))
                             if len(lines) == BATCH_LINES:
-                                yield pd.DataFrame({"file": file, "member": member, "line": lines})
+                                yield pd.DataFrame(lines, columns=names)
                                 lines = []
-                        yield pd.DataFrame({"file": file, "member": member, "line": lines}).astype(str)
+            yield pd.DataFrame(lines, columns=names).astype(str)
 
     lines = archives.select("file", "content").mapInPandas(read, "file string, member string, line string")
     # One task unpacks an archive; what follows is spread over all of them.
@@ -77,12 +78,19 @@ def documents_of(archives: DataFrame) -> DataFrame:
     """The files inside archives given as ``(file, content)``."""
 
     def read(batches):
+        names = ["file", "document", "content"]
         for batch in batches:
+            rows: list[tuple[str, str, bytes]] = []
+            size = 0
             for file, content in zip(batch["file"], batch["content"]):
                 for member, opened in members(content):
                     with opened() as handle:
-                        document = member.rsplit("/", 1)[-1]
-                        yield pd.DataFrame({"file": [file], "document": [document], "content": [handle.read()]})
+                        rows.append((file, member.rsplit("/", 1)[-1], handle.read()))
+                    size += len(rows[-1][2])
+                    if size > BATCH_BYTES:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, size = [], 0
+            yield pd.DataFrame(rows, columns=names)
 
     documents = archives.select("file", "content").mapInPandas(read, "file string, document string, content binary")
     return documents.repartition("file", "document")
