@@ -115,6 +115,38 @@ def test_registry_through_success_failure_and_retry(store, write):
     assert not ingest.process_files(spec(), store, [good, bad, last])
 
 
+def test_a_retry_doubles_nothing(store, write, monkeypatch):
+    path, things = write("1.csv", "1,a", "2,b"), spec(INCREMENTAL)
+
+    def fail(*_):
+        raise RuntimeError("no room")
+
+    with monkeypatch.context() as m:
+        m.setattr(L, "incremental_l1", fail)
+        assert not ingest.process_files(things, store, [path])
+    assert len(rows(store, "L0", "key")) == 2  # the failed attempt got as far as L0
+    assert ingest.process_files(things, store, [path])
+    assert rows(store, "L0", "key") == [(1,), (2,)] and rows(store, "L1", "key", "name") == [(1, "A"), (2, "B")]
+    ids = {r.id for r in store.read("test/things/L0").collect()}
+    assert {r.data_source_row_id for r in store.read("test/things/L1").collect()} == ids
+    # A finished file that is loaded on purpose once more is added again.
+    ingest.load_file(things, store, path)
+    assert len(rows(store, "L0", "key")) == 4
+
+
+def test_what_could_not_be_read_is_kept(store, write):
+    def read(spark, path):
+        texts = spark.read.option("header", True).csv(path)
+        number = F.col("key").try_cast("int")
+        good = texts.where(number.isNotNull()).select(number.alias("key"), "name")
+        return good, texts.where(number.isNull()).select(F.col("name").alias("doc"), F.col("key").alias("message"))
+
+    things = spec(INCREMENTAL, read_with_errors=read)
+    assert ingest.process_files(things, store, [write("1.csv", "1,a", "x,b")])
+    assert rows(store, "L0", "key") == [(1,)]
+    assert rows(store, "errors", "doc", "message", "datafile_created") == [("b", "x", "1.csv")]
+
+
 def test_a_missing_file_name_is_always_a_new_entry(spark):
     at = F.lit("2020-01-01").cast("timestamp")
     registry = spark.createDataFrame([], R.REGISTRY_SCHEMA)

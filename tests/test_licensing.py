@@ -179,3 +179,33 @@ def test_a_value_of_the_wrong_type_fails_the_load(spark, store, tmp_path):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         P.load_table(spark, store, "country_groups", write(tmp_path, "g.csv", "id", "one"))
     assert not store.exists("country_groups")
+
+
+def test_the_whole_report_is_kept(spark, store, tmp_path):
+    bad = [BATCH.replace('"1"', f'"{i}"', 1).replace("RELEASED", "OPEN") for i in range(1, 9)]
+    with pytest.raises(P.LoadRejected, match=r"8 x check \(status\).*batches_report"):
+        P.load_table(spark, store, "batches", write(tmp_path, "b.csv", BATCH_HEADER, *bad))
+    assert store.read("batches_report").count() == 8
+
+
+@pytest.mark.parametrize("row", ["1,2", ""])
+def test_rows_of_another_length_than_the_header_fail_the_load(spark, store, tmp_path, row):
+    path = write(tmp_path, "e.csv", "cg_id,country_id", "1,2", row or "3", "4,5,6" if row else "4,5")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        P.load_table(spark, store, "country_group_entries", path)
+    assert not store.exists("country_group_entries")
+
+
+def test_a_group_is_loaded_in_reference_order(spark, store, tmp_path):
+    order = P.load_order()
+    assert sorted(order) == sorted(P.BY_NAME)
+    assert all(order.index(fk.parent) <= order.index(t) for t in order for fk in P.BY_NAME[t].foreign_keys)
+    files = {
+        "country_group_entries": write(tmp_path, "e.csv", "cg_id,country_id", "1,2"),
+        "country_groups": write(tmp_path, "g.csv", "id", "1"),
+        "batches": write(tmp_path, "b.csv", BATCH_HEADER, BATCH.replace("RELEASED", "OPEN")),
+    }
+    states = []
+    failed = P.load_group(spark, store, files, lambda *state: states.append(state[:3]))
+    assert set(failed) == {"batches"} and store.read("country_group_entries").count() == 1
+    assert ("batches", "b.csv", "failed") in states and ("country_groups", "g.csv", "processed") in states
