@@ -17,7 +17,18 @@ SLICE_CHARS = 1_000_000
 WORD = regex.compile(r"[^\x20\x09-\x0D]+")
 
 
+#: Rows of an Arrow batch. Texts are long: the usual 10,000 of them are tens of MB, several times over in a worker.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of ``BATCH_ROWS`` at most; results do not depend on it."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

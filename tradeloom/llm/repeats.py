@@ -38,9 +38,9 @@ GRAM = 20
 SPAN = LENGTH - GRAM + 1  # grams of a window, and the most windows of a piece
 BUSY = 12
 #: Bytes of text that a group holds on average and that are hashed at a time, and pieces of a key range.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 CHUNK = 1 << 17
-RANGE_PIECES = 100_000
+RANGE_PIECES = 200_000
 KEY_BITS = np.uint64(48)
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
