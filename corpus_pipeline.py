@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.llm import dart, langid, packing, pii, repeats
+from tradeloom.llm.common import small_batches
 from tradeloom.session import materialize
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -20,6 +21,7 @@ LEAST_SCORE = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of an undetermined language go: null texts, texts without a letter, and guesses. A language that was
     null is filled in. Repeated rows are judged one by one."""
+    small_batches(spark)
     docs = docs.select(COLUMNS)
     model = langid.train(docs.where(~langid.held_out()))
     told = langid.with_language(docs, model, names=("told", "score"))
@@ -30,6 +32,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near-duplicates the document with the least id stays. Rows that share an id are one document and
     stay or go together; rows with a null id stay; so do documents without words."""
+    small_batches(spark)
     docs = docs.select(COLUMNS)
     classes = dart.near_duplicates(docs.where("doc_id is not null"))
     copies = classes.where("class_id <> doc_id").select("doc_id").distinct()
@@ -39,6 +42,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes that repeat 50 bytes of a smaller document go, and with them what they leave of a character that they cut.
     A document of which nothing is left goes; one that was empty or null before stays."""
+    small_batches(spark)
     docs = docs.select(COLUMNS)
     cut = repeats.repeats(docs, carry=("lang", "source"))
     text = F.try_validate_utf8(F.col("kept").cast("string"))
@@ -49,6 +53,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets are replaced by their kind in angle brackets. No document goes; null texts stay null."""
+    small_batches(spark)
     docs = docs.select(COLUMNS)
     found = materialize(pii.find(docs), "pii-candidates")
     clean = pii.redacted(docs, pii.learn(found))
