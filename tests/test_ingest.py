@@ -134,6 +134,26 @@ def test_a_retry_doubles_nothing(store, write, monkeypatch):
     assert len(rows(store, "L0", "key")) == 4
 
 
+def test_many_files_are_one_addition_and_a_bad_one_is_found(store, write):
+    things = spec(INCREMENTAL)
+    files = [write(f"{i:02}.csv", f"{i},n{i}") for i in range(6)]
+    assert ingest.process_files(things, store, files)
+    assert store._version("test/things/L0").version == store._version("test/things/L1").version == 1
+    assert rows(store, "L0", "key", "datafile_created") == [(i, f"{i:02}.csv") for i in range(6)]
+    more = [write("07.csv", "7,a"), write("08.csv", "x,b"), write("09.csv", "9,c")]
+    assert ingest.process_files(things, store, [*files, *more])
+    assert rows(store, "L0", "key") == [(i,) for i in (0, 1, 2, 3, 4, 5, 7, 9)] and len(rows(store, "L1", "key")) == 8
+    states = {r.file_name: r.state for r in ingest.registry(store).collect()}
+    assert states["08.csv"] == R.FAILED and sum(s == R.PROCESSED for s in states.values()) == 8
+
+
+def test_small_additions_are_compacted(spark, store):
+    for i in range(7):
+        store.append_compacted("t", spark.createDataFrame([(i,)], "v int"), folders=3)
+    assert sorted(r.v for r in store.read("t").collect()) == list(range(7))
+    assert len(store._version("t").paths) <= 3
+
+
 def test_what_could_not_be_read_is_kept(store, write):
     def read(spark, path):
         texts = spark.read.option("header", True).csv(path)

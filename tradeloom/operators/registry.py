@@ -49,6 +49,23 @@ def registry_upsert(registry: DataFrame, updates: DataFrame, at: Column) -> Data
     )
 
 
+STATE_SCHEMA = "source string, file_name string, state string, error_message string, at timestamp"
+
+
+def current_states(states: DataFrame) -> DataFrame:
+    """The registry from a log of states: per file the newest state and message that were given, and the first and last
+    time. Entries without a file name stand for themselves."""
+    has_name = F.coalesce("file_name", F.lit("")) != ""
+    newest = states.where(has_name).groupBy("source", "file_name").agg(
+        *(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("at"))).alias(c) for c in ("state", "error_message")),
+        F.min("at").alias("created"), F.max("at").alias("updated"),
+    )
+    alone = states.where(~has_name).select(
+        "source", "file_name", "state", "error_message", F.col("at").alias("created"), F.col("at").alias("updated")
+    )
+    return newest.unionByName(alone)
+
+
 def finished_files(registry: DataFrame) -> DataFrame:
     """Files that need no further work, one row per source and file."""
     return (

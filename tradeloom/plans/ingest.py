@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tradeloom.operators import lifecycle as L
 from tradeloom.operators import registry as R
 from tradeloom.operators.store import LayerStore
 from tradeloom.sources.upload import apply_types, missing_columns, read_upload, reserved_columns
-from tradeloom.spec import REPLACE, SNAPSHOT, DatasetSpec
+from tradeloom.spec import INCREMENTAL, REPLACE, SNAPSHOT, DatasetSpec
 
 REGISTRY = "operations/datafile_registry"
 LAYER0_LINEAGE = "id bigint, datafile_created string, datafile_updated string, data_hash string, "
@@ -83,45 +84,86 @@ def _load_incremental(spec: DatasetSpec, store: LayerStore, rows: DataFrame, fil
 
 def _finished(store: LayerStore, spec: DatasetSpec, file_name: str) -> bool:
     """Whether the last recorded state of the file is an end, or it was never recorded: then loading it again is meant."""
-    states = registry(store).where((F.col("source") == spec.id) & (F.col("file_name") == file_name)).select("state").collect()
-    return not any(s.state in (R.PROCESSING, R.FAILED) for s in states)
+    return file_name not in _open_files(store, spec)
 
 
 def registry(store: LayerStore) -> DataFrame:
-    return store.read_or_empty(REGISTRY, R.REGISTRY_SCHEMA)
+    return R.current_states(store.read_or_empty(REGISTRY, R.STATE_SCHEMA))
 
 
-def _record(store: LayerStore, source: str, file_name: str | None, state: str, message: str | None = None) -> None:
-    update = store.spark.createDataFrame(
-        [(source, file_name, state, message)], "source string, file_name string, state string, error_message string"
-    )
-    at = F.lit(dt.datetime.now(dt.timezone.utc))
-    store.publish(REGISTRY, R.registry_upsert(registry(store), update, at))
+def _record(store: LayerStore, states: list[tuple[str, str | None, str, str | None]]) -> None:
+    """Add (source, file name, state, message) to the log of states; nothing that is there is read or written again."""
+    now = dt.datetime.now(dt.timezone.utc)
+    store.append_compacted(REGISTRY, store.spark.createDataFrame([(*s, now) for s in states], R.STATE_SCHEMA).coalesce(1))
+
+
+# Files that are read by one job; their plans are joined, so there are not too many.
+FILES_TOGETHER = 50
 
 
 def process_files(spec: DatasetSpec, store: LayerStore, files: Iterable[str], force: bool = False) -> bool:
     """Process every file that is not finished yet, in name order; a failing file does not stop the others.
 
-    Returns whether any file changed the data.
+    Files of an incremental dataset are loaded many at a time, and one by one only where that fails. Returns whether
+    any file changed the data.
     """
     names = [(spec.id, path.rstrip("/").rsplit("/", 1)[-1], path) for path in sorted(files)]
     if not names:
         return False
     work = store.spark.createDataFrame(names, "source string, file_name string, path string")
     todo = work if force else R.unprocessed_files(work, registry(store))
+    # No more than the names that were given.
+    waiting = [(r.file_name, r.path) for r in todo.select("file_name", "path").orderBy("file_name").collect()]
     changed = False
-    for row in todo.orderBy("file_name").collect():
-        _record(store, spec.id, row.file_name, R.PROCESSING)
-        try:
-            load_file(spec, store, row.path, row.file_name, force)
-        except Exception as e:
-            _record(store, spec.id, row.file_name, R.FAILED, str(e))
-        else:
-            _record(store, spec.id, row.file_name, R.PROCESSED)
-            changed = True
+    together = spec.mode == INCREMENTAL and spec.read_with_errors is None and not force
+    retried = _open_files(store, spec) if together else set()
+    step = FILES_TOGETHER if together else 1
+
+    def load(part: list[tuple[str, str]]) -> bool:
+        name, path = part[0]
+        if len(part) == 1:
+            try:
+                load_file(spec, store, path, name, force)
+            except Exception as e:
+                _record(store, [(spec.id, name, R.FAILED, str(e))])
+                return False
+        elif retried & {name for name, _ in part} or not _load_together(spec, store, part):
+            # Halves, so that one bad file among many is found in a few attempts.
+            half = len(part) // 2
+            return load(part[:half]) | load(part[half:])
+        _record(store, [(spec.id, name, R.PROCESSED, None) for name, _ in part])
+        return True
+
+    for i in range(0, len(waiting), step):
+        part = waiting[i : i + step]
+        _record(store, [(spec.id, name, R.PROCESSING, None) for name, _ in part])
+        changed |= load(part)
     return changed
 
 
+def _open_files(store: LayerStore, spec: DatasetSpec) -> set[str]:
+    """Files with an attempt that did not end well, which may have left rows behind."""
+    states = registry(store).where((F.col("source") == spec.id) & F.col("state").isin(R.PROCESSING, R.FAILED))
+    return {r.file_name for r in states.select("file_name").collect()}
+
+
+def _load_together(spec: DatasetSpec, store: LayerStore, files: list[tuple[str, str]]) -> bool:
+    """Append several incremental files to both layers as one addition; whether that worked. If not, nothing stays."""
+    l0_name, l1_name = layer(spec, "L0"), layer(spec, "L1")
+    label = f"{files[0][0]} and {len(files) - 1} more"
+    try:
+        frames = [spec.read(store.spark, path).withColumn("datafile_created", F.lit(name)) for name, path in files]
+        known = store.read(l0_name) if store.exists(l0_name) else None
+        fresh = store.append_and_read(l0_name, L.with_row_ids(reduce(DataFrame.unionByName, frames), known), label)
+        if spec.l1_columns:
+            known_l1 = store.read(l1_name) if store.exists(l1_name) else None
+            store.append(l1_name, L.incremental_l1(fresh, known_l1, spec.l1_columns, spec.transforms()), label)
+    except Exception:
+        store.without_label(l0_name, label)
+        return False
+    return True
+
+
 def run_group(specs: dict[str, DatasetSpec], wanted: Iterable[str], store: LayerStore, files: dict[str, list[str]], force: bool = False) -> list[str]:
     """Process datasets after those they require; returns the order used."""
     order: list[str] = []

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.charset import to_latin
 from tradeloom.operators.store import LayerStore
-from tradeloom.plans import accounts, licensing
+from tradeloom.plans import accounts, ingest, licensing
 from tradeloom.rehearsal.registry import Tables, query
 from tradeloom.session import materialize, scratch_path
 from tradeloom.sources.archives import documents_of, lines_of
-from tradeloom.sources.delimited import LATIN
+from tradeloom.sources.delimited import LATIN, read_delimited
 from tradeloom.sources.upload import profile_upload, read_upload
+from tradeloom.spec import INCREMENTAL, DatasetSpec
 
 
 def zipped(rows: DataFrame, nested: bool) -> DataFrame:
@@ -170,3 +171,28 @@ def licensing_load(t: Tables) -> DataFrame:
     report = report.where("kind <> 'primary key'").select("kind", "rule", F.col("key").alias("id"))
     told = t.spark.createDataFrame(states, "kind string, rule string, id string")
     return before.unionByName(report).unionByName(told)
+
+
+@query(
+    "process_files",
+    """WITH f AS (SELECT *, printf('%02d.csv', c_nationkey) AS file FROM customer)
+    SELECT 'row' AS kind, file, CAST(c_custkey AS VARCHAR) AS key FROM f WHERE c_nationkey <> 7
+    UNION ALL SELECT DISTINCT 'state', file, CASE WHEN c_nationkey = 7 THEN 'failed' ELSE 'processed' END FROM f""",
+)
+def process_files(t: Tables) -> DataFrame:
+    """A file per nation, one of them with a bad key: the others are loaded, and the registry tells which."""
+    folder = scratch_path(t.spark, "many")
+    key = F.when(F.col("c_nationkey") == 7, "x").otherwise(F.col("c_custkey").cast("string"))
+    rows = t.customer.select(key.alias("key"), "c_name", F.format_string("%02d.csv", "c_nationkey").alias("file"))
+    rows.write.partitionBy("file").option("header", True).csv(folder)
+    schema = "key bigint, name string"
+    spec = DatasetSpec(
+        "rehearsal", "customers", INCREMENTAL, schema, lambda spark, path: read_delimited(spark, path, schema), ["key", "name"]
+    )
+    store = LayerStore(t.spark, scratch_path(t.spark, "many-layers"))
+    files = [f"{folder}/file={r.file}" for r in rows.select("file").distinct().collect()]
+    ingest.process_files(spec, store, files)
+    name = F.replace("file_name", F.lit("file="), F.lit(""))
+    states = ingest.registry(store).select(F.lit("state").alias("kind"), name.alias("file"), F.col("state").alias("key"))
+    loaded = store.read("rehearsal/customers/L0").withColumnRenamed("datafile_created", "file_name")
+    return states.unionByName(loaded.select(F.lit("row").alias("kind"), name.alias("file"), F.col("key").cast("string").alias("key")))
