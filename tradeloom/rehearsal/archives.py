@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.charset import to_latin
 from tradeloom.operators.store import LayerStore
-from tradeloom.plans import accounts, ingest, licensing
+from tradeloom.plans import accounts, datasets, ingest, licensing
 from tradeloom.rehearsal.registry import Tables, query
 from tradeloom.session import materialize, scratch_path
 from tradeloom.sources.archives import documents_of, lines_of
@@ -196,3 +196,67 @@ def process_files(t: Tables) -> DataFrame:
     states = ingest.registry(store).select(F.lit("state").alias("kind"), name.alias("file"), F.col("state").alias("key"))
     loaded = store.read("rehearsal/customers/L0").withColumnRenamed("datafile_created", "file_name")
     return states.unionByName(loaded.select(F.lit("row").alias("kind"), name.alias("file"), F.col("key").cast("string").alias("key")))
+
+
+@query(
+    "reference_postcodes_load",
+    """SELECT 'AB' || c_custkey AS postcode, c_name AS local_authority_district_name, c_mktsegment AS region_name, nullif(CAST(c_nationkey % 3 AS VARCHAR), '0') AS region_code,
+      CAST(make_date(1980 + c_nationkey, 1, 1) AS DATE) AS date_of_introduction, CASE WHEN c_nationkey % 2 = 0 THEN make_date(2010, 5, 1) END AS date_of_termination FROM customer""",
+)
+def reference_postcodes_load(t: Tables) -> DataFrame:
+    """A written file goes through both layers; blank quoted cells are missing."""
+    nation = F.col("c_nationkey")
+    known = {
+        "postcode": F.concat(F.lit("AB"), "c_custkey"),
+        "local_authority_district_name": F.col("c_name"),
+        "region_name": F.col("c_mktsegment"),
+        "region_code": F.when(nation % 3 == 0, "").otherwise((nation % 3).cast("string")),
+        "date_of_introduction": F.concat(nation + 1980, F.lit("-01-01")),
+        "date_of_termination": F.when(nation % 2 == 0, "2010-05-01"),
+    }
+    spec = datasets.REFERENCE_POSTCODES
+    path = scratch_path(t.spark, "postcodes")
+    rows = t.customer.select([known.get(c, F.lit("")).alias(c) for c in spec.l0_columns])
+    rows.write.options(header=True, escape='"').csv(path)
+    store = LayerStore(t.spark, scratch_path(t.spark, "postcode-layers"))
+    ingest.load_file(spec, store, path, "postcodes.csv")
+    return store.read(ingest.layer(spec, "L1")).select(list(known))
+
+
+@query(
+    "raw_tariff_load",
+    """SELECT l_suppkey AS reporter, year(l_shipdate) AS year, l_partkey AS product, l_linenumber AS partner,
+      CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS duty_type, CAST(l_discount AS DOUBLE) AS simple_average, CAST(l_quantity AS INTEGER) AS number_of_total_lines
+    FROM lineitem""",
+)
+def raw_tariff_load(t: Tables) -> DataFrame:
+    """Two files of raw tariffs, loaded together into the one layer that they have."""
+    spec, folder = datasets.RAW_TARIFF, scratch_path(t.spark, "tariffs")
+    rows = t.lineitem.select(
+        "l_suppkey", F.year("l_shipdate"), "l_partkey", "l_linenumber", F.when(F.col("l_returnflag") == "N", "").otherwise(F.col("l_returnflag")),
+        F.col("l_discount").cast("decimal(20,6)"), F.col("l_quantity").cast("int"),
+    ).toDF(*spec.l0_columns)
+    files = [f"{folder}/{kind}.csv" for kind in ("even", "odd")]
+    for path, rest in zip(files, (0, 1)):
+        rows.where(F.col("partner") % 2 == rest).write.options(header=True, escape='"').csv(path)
+    store = LayerStore(t.spark, scratch_path(t.spark, "tariff-layers"))
+    ingest.process_files(spec, store, files)
+    loaded = store.read(ingest.layer(spec, "L0")).select(spec.l0_columns)
+    return loaded.withColumn("simple_average", F.col("simple_average").cast("double"))
+
+
+@query(
+    "upload_archive",
+    """SELECT CAST(c_custkey AS VARCHAR) AS key, CAST(c_nationkey AS VARCHAR) AS nation, 'text' AS kind FROM customer
+    UNION ALL SELECT CAST(c_custkey AS VARCHAR), CASE WHEN c_nationkey <> 3 THEN CAST(c_nationkey AS VARCHAR) END, 'typed' FROM customer""",
+)
+def upload_archive(t: Tables) -> DataFrame:
+    """An upload is archived as text under its dataset and file, and loaded with the confirmed types."""
+    path = scratch_path(t.spark, "uploads") + "/customers.csv"
+    nation = F.when(F.col("c_nationkey") == 3, "N/A").otherwise(F.col("c_nationkey").cast("string"))
+    t.customer.select(F.col("c_custkey").alias("key"), nation.alias("nation")).write.option("header", True).csv(path)
+    store = LayerStore(t.spark, scratch_path(t.spark, "upload-layers"))
+    typed = ingest.load_upload(store, "org", "customers", path, {"key": "integer", "nation": "integer"})
+    kept = store.read("org/customers/uploads").where("file = 'customers.csv'")
+    kept = kept.select("key", F.when(F.col("nation") == "", "3").otherwise(F.col("nation")).alias("nation"), F.lit("text").alias("kind"))
+    return kept.unionByName(typed.select(F.col("key").cast("string"), F.col("nation").cast("string"), F.lit("typed").alias("kind")))
