@@ -38,10 +38,16 @@ def exporters_l1(t: Tables) -> DataFrame:
     return l1.withColumn("codes", F.array_join("export_item_codes", "|")).drop("export_item_codes")
 
 
+# Columns of the postcode directory that are copied as they are.
+COPIED = [c for c in datasets.POSTCODE_DIRECTORY.l1_columns if c not in ("pcd", "dointr", "doterm", "ctry", "publication_date")]
+
+
 @query(
     "postcode_l1",
     """SELECT c_custkey, 'AB' || c_custkey AS pcd, CAST(make_date(1980 + c_nationkey, 1 + c_nationkey % 12, 1) AS DATE) AS dointr,
-      CASE WHEN c_nationkey % 2 = 0 THEN make_date(2010, 5, 1) END AS doterm, c_mktsegment AS ctry, DATE '2019-05-01' AS publication_date FROM customer""",
+      CASE WHEN c_nationkey % 2 = 0 THEN make_date(2010, 5, 1) END AS doterm, c_mktsegment AS ctry, DATE '2019-05-01' AS publication_date, """
+    + ", ".join(f"""'{c}' || c_nationkey AS "{c}\"""" for c in COPIED)
+    + " FROM customer",
 )
 def postcode_l1(t: Tables) -> DataFrame:
     """Month codes become dates, everything else is copied."""
@@ -54,11 +60,8 @@ def postcode_l1(t: Tables) -> DataFrame:
         "ctry": F.col("c_mktsegment"),
         "publication_date": F.lit("2019-05-01").cast("date"),
     }
-    l0 = t.customer.select(
-        "c_custkey", *[known.get(c, F.lit(None).cast("string")).alias(c) for c in spec.l0_columns]
-    )
-    l1 = L.standardise(l0, ["c_custkey", *spec.l1_columns], spec.transforms())
-    return l1.select("c_custkey", "pcd", "dointr", "doterm", "ctry", "publication_date")
+    l0 = t.customer.select("c_custkey", *[known.get(c, F.concat(F.lit(c), nation)).alias(c) for c in spec.l0_columns])
+    return L.standardise(l0, ["c_custkey", *spec.l1_columns], spec.transforms())
 
 
 FACTS_SQL = """WITH facts AS (
