@@ -55,7 +55,7 @@ def hash64(data: bytes) -> int:
 class WordHashes(dict):
     """Word -> 64-bit hash, remembered for a bounded number of words."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 

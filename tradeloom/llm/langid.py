@@ -130,7 +130,7 @@ def train(
 class _Scores(dict):
     """Word -> row of ``rows``; filled as words come, for a bounded number of them."""
 
-    def __init__(self, model: Model, most: int = 300_000):
+    def __init__(self, model: Model, most: int = 200_000):
         super().__init__()
         self.model, self.most = model, most
         self.rows = np.zeros((most, len(model.languages)))
