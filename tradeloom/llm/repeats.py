@@ -37,6 +37,8 @@ LENGTH = 50
 GRAM = 20
 SPAN = LENGTH - GRAM + 1  # grams of a window, and the most windows of a piece
 BUSY = 12
+#: The keys of pieces are distributed about like the least of so many hashes.
+CROWDED = 22
 #: Bytes of text that a group holds on average and that are hashed at a time, and pieces of a key range.
 GROUP_BYTES = 1 << 20
 CHUNK = 1 << 17
@@ -220,11 +222,10 @@ class Group:
         new = np.ones(len(by), bool)
         new[1:] = hashes[by][1:] != hashes[by][:-1]
         by = by[new]
-        keys = np.concatenate([key, hashes[by] >> (np.uint64(64) - KEY_BITS)])
+        part = np.concatenate([range_of(key, ranges), even_range(hashes[by], ranges)])
         starts = np.concatenate([start, at[by]])
         sizes = np.concatenate([size, np.full(len(by), LENGTH)])
         least = np.concatenate([least, ids[by]])
-        part = range_of(keys, ranges)
         order = np.argsort(part, kind="stable")
         out = [(int(part[order[a]]), order[a:b], starts[order[a:b]], sizes[order[a:b]], least[order[a:b]]) for a, b in spans(part[order])]
         return out, hashes[by], ids[by]
@@ -273,7 +274,15 @@ class Group:
 
 
 def range_of(key: np.ndarray, ranges: int) -> np.ndarray:
-    return (key.astype(np.float64) * (ranges / 2.0**48)).astype(np.int64).clip(0, ranges - 1)
+    """The range of a key. Keys are least values of many hashes and crowd at the low end, so ranges follow the
+    distribution of such a minimum; they keep the order of the keys."""
+    share = 1 - (1 - key.astype(np.float64) / 2.0**48) ** CROWDED
+    return (share * ranges).astype(np.int64).clip(0, ranges - 1)
+
+
+def even_range(hashes: np.ndarray, ranges: int) -> np.ndarray:
+    """The range of a 64-bit hash that is spread evenly."""
+    return ((hashes >> np.uint64(32)).astype(np.float64) * (ranges / 2.0**32)).astype(np.int64).clip(0, ranges - 1)
 
 
 def spans(part: np.ndarray) -> list[tuple[int, int]]:
