@@ -74,6 +74,35 @@ def test_classes_are_those_of_all_pairs(spark):
     assert {r.doc_id: r.class_id for r in out} == plain(rows)
 
 
+def crowd():
+    """Texts of one template are alike (0.75), but only two of each are similar enough (0.82)."""
+    rng = random.Random(5)
+    template = [f"w{i}" for i in range(1200)]
+    rows = []
+    for i in range(100):
+        places = rng.sample(range(2, 1200, 5), 29)
+        for who, own in ((i, places[5:17]), (9000 - i, places[17:])):
+            one = list(template)
+            for k in places[:5]:
+                one[k] = f"x{i}-{k}"
+            for k in own:
+                one[k] = f"y{who}-{k}"
+            rows.append((who, " ".join(one)))
+    return rows
+
+
+def test_links_far_from_each_other_in_a_crowded_bucket(spark):
+    rows = crowd()
+    want = plain(rows)
+    got = {r.doc_id: r.class_id for r in dart.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(set(want.values())) > 50
+    assert got == want
+
+
+def test_least_equal_coordinates():
+    assert dart.least_equal(0.8) == 56 and dart.least_equal(1.0) == 96
+
+
 def test_empty_table(spark):
     assert dart.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

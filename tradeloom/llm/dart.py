@@ -10,8 +10,11 @@ with the probability of their weighted Jaccard similarity. Bands of four coordin
 Documents with equal words are one text; only its first document goes on. In a bucket all texts are compared with the
 least one; and, so that no group is compared all with all, the bucket is sorted by the coordinates that follow those of
 its key, and of the ``NEAR`` texts on either side each text is compared with the ``PARTNERS`` whose signatures agree most.
-A group of any size is dealt out by ranges of that order. Every pair is verified exactly on whole texts. Links of
-similarity 0.8 share a bucket but for 3 in a million, and about ten on average, each with its own order.
+A group of any size is dealt out by ranges of that order. These links only save work: in every bucket that still holds
+several components afterwards, each text is compared with all texts of the other components, in cells of two blocks of
+about ``BLOCK`` texts, whatever the size of the bucket. Signatures are compared first, and pairs that agree in fewer
+coordinates than ``least_equal`` are passed over, as a pair of the least similarity does less than once in a million
+times; every other pair is verified exactly on whole texts. Links of similarity 0.8 share a bucket but for 3 in a million.
 
 Cases: documents with one to four words have one shingle, their words; those without a word (null, empty) are alone.
 Ids that repeat belong to one document per text. Ties take the least id. Only id and text are read.
@@ -38,9 +41,13 @@ WIDTH = 5
 DARTS = 96
 ROWS = 4
 SIMILAR = 0.8
-#: Neighbours on either side that signatures are compared with, how many of them are verified, and the share of equal
-#: coordinates that a pair of similarity 0.8 falls below less than once in a thousand times.
+#: For the first links: neighbours on either side that signatures are compared with, how many of them are verified, and
+#: the share of equal coordinates from which on they are likely.
 NEAR, PARTNERS, LIKELY = 64, 3, 0.66
+#: Texts of a bucket that meet another block at a time, and the probability that a similar pair is passed over.
+BLOCK, MISSED = 256, 1e-6
+#: The side of texts whose cell is a block with itself.
+BOTH = 2
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -171,6 +178,84 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = key[-NEAR:], rep[-NEAR:], signed[-NEAR:]
 
 
+def least_equal(least: float, darts: int = DARTS) -> int:
+    """Equal coordinates that a pair of similarity ``least`` falls below with a probability of at most ``MISSED``."""
+    below = 0.0
+    for k in range(darts):
+        below += math.comb(darts, k) * least**k * (1 - least) ** (darts - k)
+        if below > MISSED:
+            return k
+    return darts
+
+
+def _across(equal: int):
+    """Of cells that lie together, the pairs of different components with at least ``equal`` equal coordinates."""
+
+    def pairs(cell, side, rep, root, signed) -> pa.RecordBatch | None:
+        us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for d in range(1, len(cell)):
+            together = np.flatnonzero(cell[d:] == cell[:-d])
+            if not len(together):
+                break
+            i, j = together, together + d
+            ok = (root[i] != root[j]) & ((side[i] != side[j]) | (side[i] == BOTH))
+            i, j = i[ok], j[ok]
+            ok = (signed[i] == signed[j]).sum(1) >= equal
+            us.append(np.minimum(rep[i[ok]], rep[j[ok]]))
+            vs.append(np.maximum(rep[i[ok]], rep[j[ok]]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [np.asarray(batch.column(k)) for k in range(4)]
+            rows.append(np.stack([np.frombuffer(s, "<u4") for s in batch.column(4).to_pylist()]))
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows)]
+            # The last cell may go on in the next batch.
+            end = int(np.searchsorted(rows[0], rows[0][-1]))
+            if end:
+                yield pairs(*(x[:end] for x in rows))
+            held = [x[end:] for x in rows]
+        if held is not None:
+            yield pairs(*held)
+
+    return run
+
+
+def _open_pairs(members: DataFrame, found: DataFrame, distinct: DataFrame, least: float) -> DataFrame:
+    """The pairs (u, v) of a bucket that are not connected yet and whose signatures allow the similarity."""
+    rooted = members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    rooted = materialize(rooted.select("key", "rep", F.coalesce("root", "rep").alias("root")), "near-rooted")
+    several = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
+    opened = materialize(rooted.join(several, "key"), "near-open")
+    # A large component has blocks of its own, the small ones of a bucket share some.
+    parts = opened.groupBy("key", "root").agg(F.count("*").alias("n"))
+    large = F.col("n") >= BLOCK
+    shared = parts.where(~large).groupBy("key").agg(F.sum("n").alias("rest"))
+    parts = parts.join(shared, "key", "left").select(
+        "key", "root", F.when(large, F.col("root")).alias("own"),
+        F.ceil(F.when(large, F.col("n")).otherwise(F.col("rest")) / BLOCK).alias("blocks"),
+    )
+    placed = opened.join(parts, ["key", "root"])
+    dealt = F.xxhash64(F.lit(7), F.when(F.col("own").isNull(), F.col("root")).otherwise(F.col("rep")))
+    placed = placed.select("key", "rep", "root", "own", F.xxhash64("own", F.pmod(dealt, F.col("blocks"))).alias("block"))
+    placed = materialize(placed, "near-blocks")
+    blocks = placed.groupBy("key", "block").agg(F.any_value("own").alias("own"))
+    blocks = materialize(blocks, "near-block-names")
+    other = blocks.select("key", F.col("block").alias("with"), F.col("own").alias("its"))
+    cells = blocks.join(other, "key")
+    cells = cells.where(F.coalesce(F.col("own") != F.col("its"), F.lit(True)))
+    cell = F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with"))
+    side = F.when(F.col("block") == F.col("with"), BOTH).otherwise((F.col("block") < F.col("with")).cast("int"))
+    cells = cells.select("key", "block", cell.alias("cell"), side.cast("int").alias("side"))
+    rows = placed.join(cells, ["key", "block"]).join(distinct, "rep")
+    rows = rows.repartition("cell").sortWithinPartitions("cell").select("cell", "side", "rep", "root", "signature")
+    return materialize(rows.mapInArrow(_across(least_equal(least)), "u long, v long").distinct(), "near-across")
+
+
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     common = int(np.minimum(a[1][i], b[1][j]).sum())
@@ -226,7 +311,14 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, id_col: str = "doc_
     wanted = members.select("rep").distinct()
     # An id may stand for several texts; only one of them is the text of its content.
     texts = materialize(rows.join(wanted, F.col("doc_id") == F.col("rep"), "left_semi").select(F.col("doc_id").alias("rep"), "text").distinct(), "near-compared")
-    found = materialize(components(_links(pairs, texts, least)), "near-components")
+    links = _links(pairs, texts, least)
+    found = materialize(components(links), "near-components")
+    across = _open_pairs(members.select("key", "rep"), found, distinct, least)
+    more = _links(across, texts, least)
+    if not more.isEmpty():
+        # What was found stands for the links within its components.
+        known = found.select(F.col("root").alias("u"), F.col("node").alias("v"))
+        found = materialize(components(known.unionByName(more)), "near-components")
     groups = signed.groupBy("content").agg(F.min("doc_id").alias("rep"))
     named = groups.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("content", F.coalesce("root", "rep").alias("class_id"))
