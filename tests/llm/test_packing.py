@@ -48,3 +48,16 @@ def test_long_lengths_and_empty_table(spark):
     out = {r.doc_id: r for r in packing.pack(docs, F.col("n"), buckets=2).collect()}
     assert out[1].bucket_tokens >= 10**7 and out[2].n_tokens == 3 and out[3].n_tokens == out[4].n_tokens == 0
     assert packing.pack(docs.where("doc_id > 9"), F.col("n")).count() == 0
+
+
+def test_one_very_long_document_leaves_the_borders_exact(spark):
+    rng = random.Random(3)
+    lengths = [1_000_000, *(rng.choice([3, 7, 20, 41, 90, 100, 101, 230]) for _ in range(400))]
+    docs = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n long")
+    out = packing.pack(docs, F.col("n"), buckets=4).collect()
+    some = sorted(set(lengths))
+    best = min(
+        sum(min(e for e in ends if e >= n) - n for n in lengths)
+        for ends in ([*c, 1_000_000] for c in combinations(some[:-1], 3))
+    )
+    assert len(out) == len(lengths) and sum(r.padding for r in out) == best

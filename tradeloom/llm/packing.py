@@ -6,8 +6,7 @@ to j, when they are padded to length j. For a fixed k these are lines in the len
 monotone hull answers in time linear in the number of lengths. Inside a bucket, documents fill batches of ``budget``
 padded tokens in a fixed order; a document above the budget is a batch of its own.
 
-Lengths are exact up to ``MOST_LENGTHS``; beyond, borders lie on multiples of ceil(longest / MOST_LENGTHS), which bounds
-the histogram. A place within a bucket comes from ranks inside slices of a bucket, dealt by a hash of the id, and sums of
+The histogram is exact at every length: n words in total have fewer than sqrt(2 n) + 1 different lengths. A place within a bucket comes from ranks inside slices of a bucket, dealt by a hash of the id, and sums of
 slice sizes, so a bucket may hold any share of the rows.
 
 Cases: null and negative lengths count as 0, and a bucket is at least one token long. Equal ids may swap places only if
@@ -21,7 +20,6 @@ from pyspark.sql import functions as F
 
 from tradeloom.session import materialize
 
-MOST_LENGTHS = 65_536
 SLICE_ROWS = 4_096
 BUCKETS = 16
 BUDGET = 65_536
@@ -91,13 +89,11 @@ def pack(
     spark = docs.sparkSession
     sized = docs.select(F.col(id_col).alias("doc_id"), F.greatest(F.coalesce(length, F.lit(0)), F.lit(0)).cast("long").alias("n_tokens"))
     sized = materialize(sized, "packing-lengths")
-    longest = sized.agg(F.max("n_tokens")).first()[0]
-    if longest is None:
+    counts = sized.groupBy(F.greatest("n_tokens", F.lit(1)).cast("long").alias("n")).agg(F.count("*").alias("c"))
+    histogram = [(r.n, r.c) for r in counts.collect()]
+    if not histogram:
         empty = "doc_id long, n_tokens long, bucket int, bucket_tokens long, batch long, padding long"
         return spark.createDataFrame([], empty)
-    grain = max(1, -(-longest // MOST_LENGTHS))
-    rounded = F.ceil(F.greatest("n_tokens", F.lit(1)) / grain) * grain
-    histogram = [(r.n, r.c) for r in sized.groupBy(rounded.cast("long").alias("n")).agg(F.count("*").alias("c")).collect()]
     ends = borders(histogram, buckets)
     sizes = [0] * len(ends)
     for n, c in histogram:
