@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import bpe, dart, kneser, langid, packing, pii, quality, repeats, topk, url_rules
+from tradeloom.llm import bpe, dart, kneser, langid, merkle, packing, pii, quality, repeats, topk, url_rules
 from tradeloom.llm.common import table
 from tradeloom.session import materialize
 
@@ -181,3 +181,10 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_kneser_ney"] = op10_kneser_ney
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op13_merkle_manifest"] = op13_merkle_manifest
