@@ -106,3 +106,9 @@ def test_empty_table(spark):
 def test_long_text(spark):
     rows = [(i, "s", "en", 1, "A" * 2_000_000 if i == 3 else "b") for i in range(20)]
     assert run(spark, rows) == plain(rows)
+
+
+def test_salted_path_join(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "PATH_BROADCAST_BYTES", 0)
+    rows = [(i, "s", ["en", "de", None][i % 3], i, "Ab" * (i % 5)) for i in range(70)]
+    assert run(spark, rows) == plain(rows)

@@ -35,6 +35,8 @@ FAN = 8
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Levels a tree may have: FAN ** MOST_LEVELS exceeds any count of rows a table can hold.
 MOST_LEVELS = 20
+#: Bytes up to which the per-language paths above the subroots are sent to every task.
+PATH_BROADCAST_BYTES = 32 << 20
 
 
 def _field(value: Column) -> Column:
@@ -153,6 +155,22 @@ def _joined(sides: Column) -> Column:
     return F.array_join(F.transform(sides, lambda s: F.concat(s["left"], s["right"])), "")
 
 
+def _with_path(leaves: DataFrame, path: DataFrame, n_langs: int) -> DataFrame:
+    """Each leaf with the path of its language above the subroot. The path table has one row per language, of at most
+    ``levels * (FAN - 1)`` digests; it is broadcast when that bound times the number of languages is small, and else
+    joined with the leaves salted, so that a language holding most rows is still read by many tasks."""
+    depth = 1
+    while FAN**depth < n_langs:
+        depth += 1
+    if n_langs * (100 + 65 * (FAN - 1) * depth) <= PATH_BROADCAST_BYTES:
+        return leaves.join(F.broadcast(path), F.col("lang").eqNullSafe(F.col("_lang")))
+    salts = int(leaves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = leaves.withColumn("_salt", F.pmod(F.xxhash64("idx"), F.lit(salts)))
+    spread = path.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    cond = F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("_salt") == F.col("_s"))
+    return salted.join(spread, cond).drop("_salt", "_s")
+
+
 def manifest(docs: DataFrame, altered: Column | None = None) -> DataFrame:
     """Leaf, subroot, root and proof of every row, and the root folded from the altered leaf (``altered``: the text
     to hash instead, by default :func:`tampered`) with the original siblings.
@@ -161,9 +179,11 @@ def manifest(docs: DataFrame, altered: Column | None = None) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(*FIELDS)
+    # Texts are hashed where they are read: only digests travel through the shuffles.
     rows = rows.select(
-        *FIELDS, leaf_digest().alias("leaf"), leaf_digest(tampered() if altered is None else altered).alias("tleaf")
-    )
+        "doc_id", "lang", leaf_digest().alias("leaf"),
+        leaf_digest(tampered() if altered is None else altered).alias("tleaf"),
+    )
     leaves = ranked(rows, "lang", [F.col("doc_id").asc_nulls_first(), F.col("leaf")])
     leaves = materialize(leaves.select("doc_id", "lang", "n", "idx", "leaf", "tleaf"), "merkle-leaves")
     subroots, runs = build(leaves.withColumnRenamed("leaf", "h"), "lang")
@@ -186,7 +206,7 @@ def manifest(docs: DataFrame, altered: Column | None = None) -> DataFrame:
     each = leaves.join(
         lower, F.col("lang").eqNullSafe(F.col("_l2")) & (F.col("idx") == F.col("_i2")), "left"
     ).withColumn("sides", F.coalesce("sides", F.array()))
-    each = each.join(broadcast_checked(path), F.col("lang").eqNullSafe(F.col("_lang")))
+    each = _with_path(each, path, langs.count())
     folded = _fold(_fold(F.col("tleaf"), F.col("sides")), F.col("upper"))
     return each.select(
         "doc_id", "leaf", "subroot", F.lit(root["h"]).alias("root"),
