@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import bpe, dart, kneser, langid, merkle, negatives, packing, pii, quality, repeats, topk, url_rules
+from tradeloom.llm import (
+    bpe, dart, kneser, langid, merkle, negatives, packing, pii, quality, repeats, topk, toxicity, url_rules,
+)
 from tradeloom.llm.common import table
 from tradeloom.session import materialize
 
@@ -223,3 +225,12 @@ neg AS (
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
 FROM neg WHERE rank <= 10
 """
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, labels, held)
+
+
+QUERIES["op12_toxicity"] = op12_toxicity
