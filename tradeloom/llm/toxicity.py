@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.session import broadcast_checked, materialize
+from tradeloom.session import materialize
 
 WORD = r"[\p{L}\p{N}]+"
 START, END = "\u0002s", "\u0002e"
@@ -34,6 +34,8 @@ START, END = "\u0002s", "\u0002e"
 RIDGE = 1e-3
 NEWTON_STEPS = 12
 THRESHOLD = 0.7
+#: Rows up to which a table of the model is sent to every task (a few tens of bytes a row).
+HEAD_ROWS = 1 << 20
 
 
 def trigrams(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
@@ -123,10 +125,12 @@ class Model:
         self.top = top.select("k3", "c_t", "c_o")
 
     def log_ratios(self, grams: DataFrame) -> DataFrame:
-        """``(k3, lr)``: log P_toxic - log P_ordinary of each distinct trigram asked for."""
-        g = grams.join(self.top, "k3", "left").join(self.ctx_t, "k2", "left").join(self.ctx_o, "k2", "left")
-        g = g.join(self.cont2, "kb", "left").join(self.ctx2_t, "kv", "left").join(self.ctx2_o, "kv", "left")
-        g = g.join(broadcast_checked(self.unigram), "kw", "left")
+        """``grams`` with ``lr``: log P_toxic - log P_ordinary of each trigram. A table of the model with at most
+        ``HEAD_ROWS`` rows (counted exactly) is broadcast, so that the trigrams asked for are not shuffled for it."""
+        g = grams.join(_sent(self.top), "k3", "left").join(_sent(self.ctx_t), "k2", "left")
+        g = g.join(_sent(self.ctx_o), "k2", "left").join(_sent(self.cont2), "kb", "left")
+        g = g.join(_sent(self.ctx2_t), "kv", "left").join(_sent(self.ctx2_o), "kv", "left")
+        g = g.join(_sent(self.unigram), "kw", "left")
         p1 = F.coalesce(F.col("p1"), F.lit(self.unseen))
 
         def interpolated(c: str, prefix: str, d, lower: Column) -> Column:
@@ -136,17 +140,18 @@ class Model:
         p_t = interpolated("c_t", "t", self.d_t, interpolated("n2_t", "bt", self.d2_t, p1))
         p_o = interpolated("c_o", "o", self.d_o, interpolated("n2_o", "bo", self.d2_o, p1))
         lr = F.log(p_t) - F.log(p_o)
-        return g.select("k3", lr.alias("lr"))
+        return g.withColumn("lr", lr)
 
 
-def evidence(docs: DataFrame, model: Model, key: str = "_row", text_col: str = "text") -> DataFrame:
-    """``(key, d, words)`` per row of ``docs``: the mean log-likelihood ratio per trigram."""
-    per = trigrams(docs, key, text_col).groupBy(key, "k3", "k2", "kb", "kv", "kw").agg(F.count(F.lit(1)).alias("n"))
-    per = materialize(per, "toxicity-asked")
-    asked = per.select("k3", "k2", "kb", "kv", "kw").distinct()
-    ratios = materialize(model.log_ratios(asked), "toxicity-ratios")
-    scored = per.select(key, "k3", "n").join(ratios, "k3")
-    return scored.groupBy(key).agg((F.sum(F.col("n") * F.col("lr")) / F.sum("n")).alias("d"), F.sum("n").alias("words"))
+def _sent(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.count() <= HEAD_ROWS else table
+
+
+def evidence(docs: DataFrame, model: Model, key: str = "_key", text_col: str = "text") -> DataFrame:
+    """``(key, d, words)`` per row of ``docs``: the mean log-likelihood ratio per trigram. All trigrams of a text stay
+    in the task that read it where the model's tables are broadcast; the sums per text are combined there."""
+    scored = model.log_ratios(trigrams(docs, key, text_col))
+    return scored.groupBy(key).agg(F.avg("lr").alias("d"), F.count(F.lit(1)).alias("words"))
 
 
 def calibrate(evidence_rows: DataFrame, label_col: str = "y") -> tuple[float, float]:
@@ -179,14 +184,15 @@ def score(docs: DataFrame, labels: DataFrame, held: Column, id_col: str = "doc_i
     where ``held`` (an expression over ``doc_id``) is false teach the models and the calibration; where it is null
     (a null id) the row neither teaches nor counts as held out."""
     trains = ~held
-    rows = docs.select(id_col, text_col).withColumn("_row", F.monotonically_increasing_id())
-    rows = materialize(rows, "toxicity-docs")
-    taught = rows.where(trains).join(labels.select(id_col, F.col("toxic").alias("y")), id_col)
+    # Rows are known by a hash of id and text: equal rows are equal texts with equal scores, and no copy of the
+    # texts is written. Collisions of 64-bit hashes are neglected.
+    rows = docs.select(id_col, text_col).withColumn("_key", F.xxhash64(id_col, text_col))
+    taught = rows.where(trains).join(_sent(labels.select(id_col, F.col("toxic").alias("y"))), id_col)
     model = Model(taught.select("y", text_col), "y", text_col)
-    ev = materialize(evidence(rows, model), "toxicity-evidence")
-    a, b = calibrate(ev.join(taught.select("_row", "y"), "_row").where(F.col("y").isNotNull()))
+    ev = materialize(evidence(rows.select("_key", text_col), model), "toxicity-evidence")
+    a, b = calibrate(ev.join(taught.select("_key", "y"), "_key").where(F.col("y").isNotNull()))
     s = 1 / (1 + F.exp(-(F.lit(a) * F.col("d") + F.lit(b))))
-    out = rows.join(ev, "_row", "left")
+    out = rows.select(id_col, "_key").join(ev, "_key", "left")
     return out.select(
         id_col, F.coalesce(held, F.lit(False)).alias("held_out"), s.alias("score"),
         F.when(s >= THRESHOLD, 1).otherwise(0).alias("predicted"), "d",
