@@ -124,7 +124,7 @@ def test_a_retry_doubles_nothing(store, write, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr(L, "incremental_l1", fail)
         assert not ingest.process_files(things, store, [path])
-    assert len(rows(store, "L0", "key")) == 2  # the failed attempt got as far as L0
+    assert not store.exists("test/things/L0")  # the failed attempt left nothing visible in either layer
     assert ingest.process_files(things, store, [path])
     assert rows(store, "L0", "key") == [(1,), (2,)] and rows(store, "L1", "key", "name") == [(1, "A"), (2, "B")]
     ids = {r.id for r in store.read("test/things/L0").collect()}
@@ -134,6 +134,49 @@ def test_a_retry_doubles_nothing(store, write, monkeypatch):
     assert len(rows(store, "L0", "key")) == 4
 
 
+class Stop(BaseException):
+    """The process ends: nothing after this point runs, no handler sees it."""
+
+
+def test_load_after_stop_between_the_layers(spark, store, write, monkeypatch):
+    things = spec(INCREMENTAL)
+    files = [write(f"{i}.csv", *(f"{i * 10 + k},n" for k in range(5))) for i in range(4)]
+    staged = store.stage
+
+    def stop_at_l1(table, df, *args):
+        if table.endswith("/L1"):
+            raise Stop()
+        return staged(table, df, *args)
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "stage", stop_at_l1)
+        with pytest.raises(Stop):
+            ingest.process_files(things, store, files)
+    again = LayerStore(spark, store.root)  # a new run
+    assert not again.exists("test/things/L0")
+    assert ingest.process_files(things, again, files)
+    assert len(rows(again, "L0", "key")) == 20 and len(rows(again, "L1", "key")) == 20
+    assert {r.state for r in ingest.registry(again).collect()} == {R.PROCESSED}
+
+
+def test_a_recorded_transaction_is_finished_by_the_next_store(spark, store, write, monkeypatch):
+    things = spec(INCREMENTAL)
+    files = [write(f"{i}.csv", f"{i},n") for i in range(3)]
+
+    def stop(*_):
+        raise Stop()
+
+    with monkeypatch.context() as m:
+        m.setattr(LayerStore, "_apply", stop)
+        with pytest.raises(Stop):
+            ingest.process_files(things, store, files)
+    assert not store.exists("test/things/L0")  # recorded, not applied yet
+    again = LayerStore(spark, store.root)
+    assert rows(again, "L0", "key") == [(0,), (1,), (2,)] and len(rows(again, "L1", "key")) == 3
+    assert not ingest.process_files(things, again, files)  # all processed: nothing is loaded twice
+    assert len(rows(again, "L0", "key")) == 3 and again.recover() == 0
+
+
 def test_many_files_are_one_addition_and_a_bad_one_is_found(store, write):
     things = spec(INCREMENTAL)
     files = [write(f"{i:02}.csv", f"{i},n{i}") for i in range(6)]

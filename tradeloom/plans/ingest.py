@@ -70,16 +70,20 @@ def _load_incremental(spec: DatasetSpec, store: LayerStore, rows: DataFrame, fil
         fresh = store.publish(l0_name, L.append_file(None, rows, file_name), file_name)
     else:
         # A retry after a failure further on puts its rows in the place of those of the failed attempt.
+        # Both layers change in one transaction, so a stop leaves both or neither.
         retried = not _finished(store, spec, file_name)
         known = store.read(l0_name) if store.exists(l0_name) else None
-        fresh = store.append_and_read(l0_name, L.append_file(known, rows, file_name), file_name, replaces=retried)
+        l0_path = store.stage(l0_name, L.append_file(known, rows, file_name))
+        changes = [store.appended(l0_name, l0_path, file_name, replaces=retried)]
+        if spec.l1_columns:
+            known_l1 = store.read(l1_name) if store.exists(l1_name) else None
+            added = L.incremental_l1(store.read_staged(l0_path), known_l1, spec.l1_columns, spec.transforms())
+            changes.append(store.appended(l1_name, store.stage(l1_name, added), file_name, replaces=retried))
+        store.commit_together(changes)
+        return
     if spec.l1_columns:
-        known_l1 = store.read(l1_name) if store.exists(l1_name) and not force else None
-        added = L.incremental_l1(fresh, known_l1, spec.l1_columns, spec.transforms())
-        if force:
-            store.publish(l1_name, added, file_name)
-        else:
-            store.append(l1_name, added, file_name, replaces=retried)
+        added = L.incremental_l1(fresh, None, spec.l1_columns, spec.transforms())
+        store.publish(l1_name, added, file_name)
 
 
 def _finished(store: LayerStore, spec: DatasetSpec, file_name: str) -> bool:
@@ -91,10 +95,14 @@ def registry(store: LayerStore) -> DataFrame:
     return R.current_states(store.read_or_empty(REGISTRY, R.STATE_SCHEMA))
 
 
+def _states(store: LayerStore, states: list[tuple[str, str | None, str, str | None]]) -> DataFrame:
+    now = dt.datetime.now(dt.timezone.utc)
+    return store.spark.createDataFrame([(*s, now) for s in states], R.STATE_SCHEMA).coalesce(1)
+
+
 def _record(store: LayerStore, states: list[tuple[str, str | None, str, str | None]]) -> None:
     """Add (source, file name, state, message) to the log of states; nothing that is there is read or written again."""
-    now = dt.datetime.now(dt.timezone.utc)
-    store.append_compacted(REGISTRY, store.spark.createDataFrame([(*s, now) for s in states], R.STATE_SCHEMA).coalesce(1))
+    store.append_compacted(REGISTRY, _states(store, states))
 
 
 # Files that are read by one job; their plans are joined, so there are not too many.
@@ -131,6 +139,8 @@ def process_files(spec: DatasetSpec, store: LayerStore, files: Iterable[str], fo
             # Halves, so that one bad file among many is found in a few attempts.
             half = len(part) // 2
             return load(part[:half]) | load(part[half:])
+        else:
+            return True  # the joint load recorded its files as processed in its own transaction
         _record(store, [(spec.id, name, R.PROCESSED, None) for name, _ in part])
         return True
 
@@ -148,19 +158,24 @@ def _open_files(store: LayerStore, spec: DatasetSpec) -> set[str]:
 
 
 def _load_together(spec: DatasetSpec, store: LayerStore, files: list[tuple[str, str]]) -> bool:
-    """Append several incremental files to both layers as one addition; whether that worked. If not, nothing stays."""
+    """Append several incremental files to both layers as one addition, and record them as processed, in one
+    transaction; whether that worked. If not, or if the process stops on the way, nothing of it is visible."""
     l0_name, l1_name = layer(spec, "L0"), layer(spec, "L1")
     label = f"{files[0][0]} and {len(files) - 1} more"
     try:
         frames = [spec.read(store.spark, path).withColumn("datafile_created", F.lit(name)) for name, path in files]
         known = store.read(l0_name) if store.exists(l0_name) else None
-        fresh = store.append_and_read(l0_name, L.with_row_ids(reduce(DataFrame.unionByName, frames), known), label)
+        l0_path = store.stage(l0_name, L.with_row_ids(reduce(DataFrame.unionByName, frames), known))
+        changes = [store.appended(l0_name, l0_path, label)]
         if spec.l1_columns:
             known_l1 = store.read(l1_name) if store.exists(l1_name) else None
-            store.append(l1_name, L.incremental_l1(fresh, known_l1, spec.l1_columns, spec.transforms()), label)
+            added = L.incremental_l1(store.read_staged(l0_path), known_l1, spec.l1_columns, spec.transforms())
+            changes.append(store.appended(l1_name, store.stage(l1_name, added), label))
+        done = _states(store, [(spec.id, name, R.PROCESSED, None) for name, _ in files])
+        changes.append(store.appended(REGISTRY, store.stage(REGISTRY, done), label))
     except Exception:
-        store.without_label(l0_name, label)
         return False
+    store.commit_together(changes)
     return True
 
 
