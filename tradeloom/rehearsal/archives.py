@@ -198,6 +198,50 @@ def process_files(t: Tables) -> DataFrame:
     return states.unionByName(loaded.select(F.lit("row").alias("kind"), name.alias("file"), F.col("key").cast("string").alias("key")))
 
 
+class _Stop(BaseException):
+    """Stands for the end of the process: no handler of the loader sees it."""
+
+
+@query(
+    "load_after_stop",
+    """WITH f AS (SELECT *, printf('%02d.csv', c_nationkey) AS file FROM customer)
+    SELECT 'row' AS kind, file, CAST(c_custkey AS VARCHAR) AS key FROM f WHERE c_nationkey <> 7
+    UNION ALL SELECT DISTINCT 'state', file, CASE WHEN c_nationkey = 7 THEN 'failed' ELSE 'processed' END FROM f""",
+)
+def load_after_stop(t: Tables) -> DataFrame:
+    """As ``process_files``, but the first run stops after L0 of the first joint load is written and before L1 is:
+    the next run, with a new store, loads every row once and records every file."""
+    folder = scratch_path(t.spark, "stopped")
+    key = F.when(F.col("c_nationkey") == 7, "x").otherwise(F.col("c_custkey").cast("string"))
+    rows = t.customer.select(key.alias("key"), "c_name", F.format_string("%02d.csv", "c_nationkey").alias("file"))
+    rows.write.partitionBy("file").option("header", True).csv(folder)
+    schema = "key bigint, name string"
+    spec = DatasetSpec(
+        "rehearsal", "customers", INCREMENTAL, schema, lambda spark, path: read_delimited(spark, path, schema), ["key", "name"]
+    )
+    root = scratch_path(t.spark, "stopped-layers")
+    files = [f"{folder}/file={r.file}" for r in rows.select("file").distinct().collect()]
+    first = LayerStore(t.spark, root)
+    staged = first.stage
+
+    def stop_at_l1(table, df, *args):
+        if table.endswith("/L1"):
+            raise _Stop()
+        return staged(table, df, *args)
+
+    first.stage = stop_at_l1
+    try:
+        ingest.process_files(spec, first, files)
+    except _Stop:
+        pass
+    store = LayerStore(t.spark, root)
+    ingest.process_files(spec, store, files)
+    name = F.replace("file_name", F.lit("file="), F.lit(""))
+    states = ingest.registry(store).select(F.lit("state").alias("kind"), name.alias("file"), F.col("state").alias("key"))
+    loaded = store.read("rehearsal/customers/L0").withColumnRenamed("datafile_created", "file_name")
+    return states.unionByName(loaded.select(F.lit("row").alias("kind"), name.alias("file"), F.col("key").cast("string").alias("key")))
+
+
 @query(
     "reference_postcodes_load",
     """SELECT 'AB' || c_custkey AS postcode, c_name AS local_authority_district_name, c_mktsegment AS region_name, nullif(CAST(c_nationkey % 3 AS VARCHAR), '0') AS region_code,
