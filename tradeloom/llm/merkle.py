@@ -96,34 +96,40 @@ def ranked(df: DataFrame, group: str, order: list[Column]) -> DataFrame:
     )
 
 
-def build(nodes: DataFrame, group: str) -> tuple[DataFrame, DataFrame]:
-    """Fold ranked nodes ``(group, n, idx, h)`` per group. Returns the tops ``(group, h)`` and every run
-    ``(group, lvl, run, kids)``, ``kids`` being the digests of the run's members in order."""
+def build(nodes: DataFrame, group: str, carry: str | None = None) -> tuple[DataFrame, DataFrame, int]:
+    """Fold ranked nodes ``(group, n, idx, h)`` per group. Returns the tops ``(group, h)``, every run
+    ``(group, lvl, run, kids, tkids)`` (``kids`` the digests of the run's members in order; ``tkids``, in runs of
+    leaves only, the column ``carry`` of the members) and the number of levels."""
     spark = nodes.sparkSession
     most = nodes.agg(F.max("n")).first()[0] or 0
-    current = nodes.select(group, "n", "idx", "h")
-    tops, runs, k = [current.where(F.col("n") <= 1)], [], 0
+    current = nodes.select(group, "n", "idx", "h", F.col(carry if carry else "h").alias("t"))
+    tops, runs, k = [current.where(F.col("n") <= 1).select(group, "h")], [], 0
     while most > FAN**k:
         active = current.where(F.col("n") > FAN**k)
+        member = F.struct("idx", "h", "t") if k == 0 and carry else F.struct("idx", "h")
         run = (
             active.groupBy(group, "n", F.shiftright("idx", 3).alias("run"))
-            .agg(F.array_sort(F.collect_list(F.struct("idx", "h"))).alias("kids"))
-            .select(group, "n", F.lit(k).alias("lvl"), "run", F.transform("kids", lambda x: x["h"]).alias("kids"))
-        )
+            .agg(F.array_sort(F.collect_list(member)).alias("kids"))
+            .select(
+                group, "n", F.lit(k).alias("lvl"), "run", F.transform("kids", lambda x: x["h"]).alias("kids"),
+                (F.transform("kids", lambda x: x["t"]) if k == 0 and carry else F.lit(None).cast("array<string>")).alias("tkids"),
+            )
+        )
         run = materialize(run, f"merkle-runs-{k}")
-        runs.append(run.select(group, "lvl", "run", "kids"))
+        runs.append(run.select(group, "lvl", "run", "kids", "tkids"))
         k += 1
         current = run.select(group, "n", F.col("run").alias("idx"), F.sha2(F.array_join("kids", ""), 256).alias("h"))
-        tops.append(current.where(F.col("n") <= FAN**k))
+        current = current.withColumn("t", F.col("h"))
+        tops.append(current.where(F.col("n") <= FAN**k).select(group, "h"))
     kinds = nodes.select(group).schema.add("lvl", IntegerType()).add("run", LongType()).add("kids", ArrayType(StringType()))
-    empty = spark.createDataFrame([], kinds)
+    empty = spark.createDataFrame([], kinds.add("tkids", ArrayType(StringType())))
     all_runs = runs[0] if runs else empty
     for r in runs[1:]:
         all_runs = all_runs.unionByName(r)
     top = tops[0]
     for t in tops[1:]:
         top = top.unionByName(t)
-    return top.select(group, "h"), all_runs
+    return top.select(group, "h"), all_runs, k
 
 
 def _sides(path: DataFrame, runs: DataFrame, group: str, key: list[str], step: int) -> DataFrame:
@@ -147,6 +153,39 @@ def _sides(path: DataFrame, runs: DataFrame, group: str, key: list[str], step: i
     return met.groupBy(*key).agg(F.array_sort(F.collect_list(side)).alias("sides"))
 
 
+SIDES = "array<struct<left:string,right:string>>"
+
+
+def _side(p: Column) -> Column:
+    """The members of a run left and right of member ``p``, each written one after another."""
+    left = F.array_join(F.slice("kids", F.lit(1), p), "")
+    right = F.array_join(F.slice("kids", p + 2, F.lit(FAN)), "")
+    return F.struct(left.alias("left"), right.alias("right"))
+
+
+def _down(runs: DataFrame, group: str, depth: int) -> DataFrame | None:
+    """``(group, node, up)`` for every node of level 1: the sides of the node and of each ancestor below the top,
+    bottom-up. Built from the top down, one level at a time: a run's path is joined once and handed to its
+    members, so a path travels once per run rather than once per leaf."""
+    paths = None
+    for k in range(depth - 1, 0, -1):
+        level = runs.where(F.col("lvl") == k).select(group, "run", "kids")
+        if paths is None:
+            up = F.array().cast(SIDES)
+        else:
+            above = paths.select(F.col(group).alias("_g"), F.col("node").alias("_node"), "up")
+            cond = F.col(group).eqNullSafe(F.col("_g")) & (F.col("run") == F.col("_node"))
+            level = level.join(above, cond, "left").drop("_g", "_node")
+            up = F.coalesce(F.col("up"), F.array().cast(SIDES))
+        members = F.transform(
+            F.sequence(F.lit(0), F.size("kids") - 1),
+            lambda p: F.struct((F.col("run") * FAN + p).alias("node"), F.concat(F.array(_side(p)), up).alias("up")),
+        )
+        paths = level.select(group, F.explode(members).alias("m")).select(group, "m.node", "m.up")
+        paths = materialize(paths, f"merkle-down-{k}")
+    return paths
+
+
 def _fold(start: Column, sides: Column) -> Column:
     return F.aggregate(sides, start, lambda acc, s: F.sha2(F.concat(s["left"], acc, s["right"]), 256))
 
@@ -155,7 +194,7 @@ def _joined(sides: Column) -> Column:
     return F.array_join(F.transform(sides, lambda s: F.concat(s["left"], s["right"])), "")
 
 
-def _with_path(leaves: DataFrame, path: DataFrame, n_langs: int) -> DataFrame:
+def _with_path(leaves: DataFrame, path: DataFrame, n_langs: int, by: str = "idx") -> DataFrame:
     """Each leaf with the path of its language above the subroot. The path table has one row per language, of at most
     ``levels * (FAN - 1)`` digests; it is broadcast when that bound times the number of languages is small, and else
     joined with the leaves salted, so that a language holding most rows is still read by many tasks."""
@@ -165,7 +204,7 @@ def _with_path(leaves: DataFrame, path: DataFrame, n_langs: int) -> DataFrame:
     if n_langs * (100 + 65 * (FAN - 1) * depth) <= PATH_BROADCAST_BYTES:
         return leaves.join(F.broadcast(path), F.col("lang").eqNullSafe(F.col("_lang")))
     salts = int(leaves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = leaves.withColumn("_salt", F.pmod(F.xxhash64("idx"), F.lit(salts)))
+    salted = leaves.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)))
     spread = path.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     cond = F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("_salt") == F.col("_s"))
     return salted.join(spread, cond).drop("_salt", "_s")
@@ -186,12 +225,12 @@ def manifest(docs: DataFrame, altered: Column | None = None) -> DataFrame:
     )
     leaves = ranked(rows, "lang", [F.col("doc_id").asc_nulls_first(), F.col("leaf")])
     leaves = materialize(leaves.select("doc_id", "lang", "n", "idx", "leaf", "tleaf"), "merkle-leaves")
-    subroots, runs = build(leaves.withColumnRenamed("leaf", "h"), "lang")
+    subroots, runs, depth = build(leaves.withColumnRenamed("leaf", "h"), "lang", carry="tleaf")
     subroots = materialize(subroots, "merkle-subroots")
 
     langs = ranked(subroots.withColumn("_all", F.lit(0)), "_all", [F.col("lang").asc_nulls_first()])
     langs = materialize(langs.select("_all", "lang", "n", "idx", "h"), "merkle-langs")
-    tops, lang_runs = build(langs, "_all")
+    tops, lang_runs, _ = build(langs, "_all")
     root = tops.first()
     if root is None:
         schema = "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
@@ -200,16 +239,40 @@ def manifest(docs: DataFrame, altered: Column | None = None) -> DataFrame:
     path = langs.select(F.col("lang").alias("_lang"), F.col("h").alias("subroot")).join(
         upper.withColumnRenamed("lang", "_l"), F.col("_lang").eqNullSafe(F.col("_l")), "left"
     )
-    path = path.select("_lang", "subroot", F.coalesce("upper", F.array()).alias("upper"))
-
-    lower = _sides(leaves, runs, "lang", ["lang", "idx"], 0).withColumnRenamed("lang", "_l2").withColumnRenamed("idx", "_i2")
-    each = leaves.join(
-        lower, F.col("lang").eqNullSafe(F.col("_l2")) & (F.col("idx") == F.col("_i2")), "left"
-    ).withColumn("sides", F.coalesce("sides", F.array()))
-    each = _with_path(each, path, langs.count())
-    folded = _fold(_fold(F.col("tleaf"), F.col("sides")), F.col("upper"))
+    plain = F.transform("upper", lambda x: F.struct(x["left"].alias("left"), x["right"].alias("right")))
+    path = path.select("_lang", "subroot", F.coalesce(plain, F.array().cast(SIDES)).alias("upper"))
+    n_langs = langs.count()
+
+    # Runs of leaves with the path above them; each member's proof and fold are taken inside its run.
+    firsts = runs.where(F.col("lvl") == 0).select("lang", "run", "kids", "tkids")
+    down = _down(runs, "lang", depth)
+    if down is not None:
+        above = down.select(F.col("lang").alias("_g"), F.col("node").alias("_node"), "up")
+        cond = F.col("lang").eqNullSafe(F.col("_g")) & (F.col("run") == F.col("_node"))
+        firsts = firsts.join(above, cond, "left").drop("_g", "_node")
+        up = F.coalesce(F.col("up"), F.array().cast(SIDES))
+    else:
+        up = F.array().cast(SIDES)
+    firsts = _with_path(firsts.withColumn("up", up), path, n_langs, by="run")
+
+    def member(p: Column) -> Column:
+        chain = F.concat(F.array(_side(p)), F.col("up"), F.col("upper"))
+        return F.struct(
+            (F.col("run") * FAN + p).alias("idx"),
+            F.sha2(_joined(chain), 256).alias("proof_sha256"),
+            _fold(F.col("tkids")[p], chain).alias("folded_root"),
+        )
+
+    members = F.transform(F.sequence(F.lit(0), F.size("kids") - 1), member)
+    proved = firsts.select("lang", "subroot", F.explode(members).alias("m")).select("lang", "subroot", "m.*")
+    # A language of one document: its leaf is its subroot, the path starts above it.
+    alone = _with_path(leaves.where(F.col("n") == 1), path, n_langs).select(
+        "lang", "subroot", "idx", F.sha2(_joined(F.col("upper")), 256).alias("proof_sha256"),
+        _fold(F.col("tleaf"), F.col("upper")).alias("folded_root"),
+    )
+    proved = proved.unionByName(alone).withColumnRenamed("lang", "_l2").withColumnRenamed("idx", "_i2")
+    each = leaves.join(proved, F.col("lang").eqNullSafe(F.col("_l2")) & (F.col("idx") == F.col("_i2")))
     return each.select(
-        "doc_id", "leaf", "subroot", F.lit(root["h"]).alias("root"),
-        F.sha2(F.concat(_joined(F.col("sides")), _joined(F.col("upper"))), 256).alias("proof_sha256"),
-        folded.alias("folded_root"), (folded == F.lit(root["h"])).alias("verified"),
+        "doc_id", "leaf", "subroot", F.lit(root["h"]).alias("root"), "proof_sha256", "folded_root",
+        (F.col("folded_root") == F.lit(root["h"])).alias("verified"),
     )
