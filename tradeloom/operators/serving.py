@@ -69,33 +69,32 @@ def keyset_page(table: DataFrame, next_id: int = 0, size: int = PAGE_SIZE, id_co
     )
 
 
-def assign_pages(table: DataFrame, size: int = PAGE_SIZE, id_column: str = "id", width: int = 100_000) -> DataFrame:
+def assign_pages(table: DataFrame, size: int = PAGE_SIZE, id_column: str = "id", width: int | None = None) -> DataFrame:
     """Number every row's page in id order without sorting the table in one task.
 
-    Ids are unique integers, so a range of ``width`` ids holds at most that many rows. Rows are ranked
-    inside their range, and ranges are summed up inside ranges a thousand times wider. Only the totals
-    of the widest ranges pass one task.
+    Rows are range-partitioned by id and sorted inside their partition; each partition counts its rows, and a row's
+    position is the count of the partitions before its own (a sum over one row per partition) plus its place in its
+    partition. Ids need not be dense. ``width`` is accepted for callers of the earlier interface and not used.
     """
-    wide = width * 1000
-    rows = table.withColumns(
-        {"_range": F.floor(F.col(id_column) / width), "_wide": F.floor(F.col(id_column) / wide)}
+    spark = table.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = (
+        table.repartitionByRange(parts, id_column)
+        .sortWithinPartitions(id_column)
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
     )
-    counts = materialize(rows.groupBy("_wide", "_range").agg(F.count("*").alias("n")), "id-ranges")
-    before = W.orderBy("_wide").rowsBetween(W.unboundedPreceding, -1)
-    before_range = W.partitionBy("_wide").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    wide_start = counts.groupBy("_wide").agg(F.sum("n").alias("n")).select(
-        "_wide", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("wide_start")
+    placed = materialize(placed, "paged")
+    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    # One row per partition: the window has no more rows than there are partitions.
+    offsets = counts.select(
+        "_part", F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_start")
     )
-    starts = (
-        counts.withColumn("start", F.coalesce(F.sum("n").over(before_range), F.lit(0)))
-        .join(wide_start, "_wide")
-        .select("_range", (F.col("start") + F.col("wide_start")).alias("_start"))
-    )
-    position = F.row_number().over(W.partitionBy("_range").orderBy(id_column)) - 1 + F.col("_start")
+    position = F.col("_start") + F.col("_pos")
     return (
-        rows.join(starts, "_range")
+        placed.join(F.broadcast(offsets), "_part")
         .withColumn("page", F.floor(position / size).cast("bigint"))
-        .drop("_range", "_wide", "_start")
+        .drop("_part", "_pos", "_start")
     )
 
 
