@@ -9,8 +9,9 @@ by what both classes share, and below that lies the uniform distribution over th
 A document's evidence is the length-normalised log-likelihood ratio ``d = (log P_toxic - log P_ordinary) / words``;
 ``score = sigmoid(a * d + b)``, with ``a, b`` fitted by ridge logistic regression (Newton steps as Spark aggregations)
 on the labelled rows. Everything is a Spark job: n-grams are exploded per document, keyed by 64-bit hashes of their
-words, counted with map-side combining, and every distinct n-gram asked for is joined with the sharded count tables once;
-counts per document and n-gram come back by a join on the trigram's key. Nothing is collected but the few sums of the
+words and counted with map-side combining. Each trigram of a text looks its counts up in the model's tables: a table of
+at most ``HEAD_ROWS`` rows (counted exactly) is broadcast, a larger one is joined, which shuffles the trigrams of all
+texts. The sums per text are combined in the task where its trigrams are. Nothing is collected but the few sums of the
 discounts and of the regression.
 
 Cases: a null text is empty; an empty text is the one trigram (start, start, end) and gets a score like any other
