@@ -80,3 +80,13 @@ def test_empty_table(spark):
 
 def test_overlapping_spans_are_redacted_as_one_stretch():
     assert pii.redact("abcdefghij", [(0, 2, 6), (1, 4, 8), (2, 2, 3)]) == "ab<email>ij"
+
+
+def test_secrets_of_any_length_are_candidates():
+    long = "k" * 60 + "7" + "Q" * 300
+    text = f"token {long} and key 12345678901234567890x and words"
+    found = [m.group() for m in pii.FURTHER["secret"].finditer(text)]
+    assert found == [long, "12345678901234567890x"]
+    # Linear on a very long token without a digit, and on many short ones.
+    assert not list(pii.FURTHER["secret"].finditer("a" * 300_000))
+    assert not list(pii.FURTHER["secret"].finditer("ab1 " * 75_000))

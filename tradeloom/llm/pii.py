@@ -43,7 +43,9 @@ FURTHER = {
     "iban": re.compile(r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b", re.A),
     "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "localphone": re.compile(r"(?<![0-9+])\(?[0-9]{3,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])"),
-    "secret": re.compile(r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]{0,40}[0-9])(?=[0-9_/+-]{0,40}[A-Za-z])[A-Za-z0-9_/+-]{16,200}(?![A-Za-z0-9_/+-])"),
+    # A token of at least 16 characters with a letter and a digit anywhere in it, of any length: the lookaheads cannot
+    # leave the token, and candidates start only where a token starts, so the search stays linear.
+    "secret": re.compile(r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*[0-9])(?=[0-9_/+-]*[A-Za-z])[A-Za-z0-9_/+-]{16,}(?![A-Za-z0-9_/+-])"),
 }
 
 # Gazetteers of the list labeler.
