@@ -58,3 +58,10 @@ def test_sample_is_bounded(spark):
     model = langid.train(docs, sample_docs=200)
     right = [r.lang_pred == r.lang for r in langid.predict(docs, model).join(docs, "doc_id").collect()]
     assert sum(right) / len(right) > 0.95
+
+
+def test_long_words_are_known_words(spark):
+    long = "x" * 30 + "q" * 30
+    docs = spark.createDataFrame([(1, f"{long} a {long}", "en"), (2, "b c", "fr")], "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert long in model.words

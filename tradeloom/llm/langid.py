@@ -54,7 +54,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
             rows: list[tuple] = []
             for lang, counts in words.items():
-                rows += [(lang, w, 0, c) for w, c in counts.items() if len(w) <= 40]
+                rows += [(lang, w, 0, c) for w, c in counts.items()]
                 for n in range(1, MOST_LETTERS + 1):
                     pieces: Counter = Counter()
                     for w, c in counts.items():
