@@ -19,11 +19,11 @@ UPLOAD_PROGRESS = {
     "uploaded": 20,
     "verified": 30,
     "processing_store": 40,
-    "processing_dataflow": 70,
+    "processing_export": 70,
     "completed": 100,
     "failed": 100,
 }
-RUNNING_STATES = ["verified", "processing_store", "processing_dataflow"]
+RUNNING_STATES = ["verified", "processing_store", "processing_export"]
 STALE_MESSAGE = "The run did not complete within {hours} hours and was marked as failed."
 
 

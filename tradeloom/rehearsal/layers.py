@@ -170,7 +170,7 @@ def files_per_source(t: Tables) -> DataFrame:
     "expire_stale",
     """SELECT event_id, CASE WHEN stale THEN 'failed' ELSE state END AS state,
       CASE WHEN stale THEN 'The run did not complete within 24 hours and was marked as failed.' ELSE message END AS error_message
-    FROM (SELECT *, state IN ('verified', 'processing_store', 'processing_dataflow') AND (started IS NULL OR started <= TIMESTAMP '2024-01-20') AS stale FROM (
+    FROM (SELECT *, state IN ('verified', 'processing_store', 'processing_export') AND (started IS NULL OR started <= TIMESTAMP '2024-01-20') AS stale FROM (
       SELECT event_id, CASE event_type WHEN 'click' THEN 'verified' WHEN 'view' THEN 'processing_store' WHEN 'error' THEN 'failed' ELSE 'completed' END AS state,
         CASE WHEN event_type = 'error' THEN 'broken' END AS message, CASE WHEN user_id % 4 <> 0 THEN ts END AS started FROM events))""",
 )

@@ -162,7 +162,7 @@ def coalesce_priority(t: Tables) -> DataFrame:
     )
 
 
-STATES = ["uploading", "uploaded", "verified", "processing_store", "processing_dataflow", "completed", "failed", ""]
+STATES = ["uploading", "uploaded", "verified", "processing_store", "processing_export", "completed", "failed", ""]
 
 
 @query(
