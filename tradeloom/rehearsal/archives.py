@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.charset import to_latin
 from tradeloom.operators.store import LayerStore
-from tradeloom.plans import accounts, datasets, ingest, licensing
+from tradeloom.plans import accounts, countries, datasets, ingest, licensing
 from tradeloom.rehearsal.registry import Tables, query
 from tradeloom.session import materialize, scratch_path
 from tradeloom.sources.archives import documents_of, lines_of
@@ -242,6 +242,58 @@ def load_after_stop(t: Tables) -> DataFrame:
     return states.unionByName(loaded.select(F.lit("row").alias("kind"), name.alias("file"), F.col("key").cast("string").alias("key")))
 
 
+@query(
+    "country_codes_load",
+    """SELECT n_nationkey AS cty_code, n_name AS cty_name_english, lower(n_name) AS cty_fullname_english,
+      substr(n_name, 1, 3) AS cty_abbreviation, n_name || ', region ' || n_regionkey AS cty_comments,
+      substr(n_name, 1, 2) AS iso2_digit_alpha,
+      upper(substr(n_name, 1, 3)) AS iso3_digit_alpha, CAST(1950 + n_regionkey AS VARCHAR) AS start_valid_year,
+      CAST(2000 + n_nationkey AS VARCHAR) AS end_valid_year
+    FROM nation""",
+)
+def country_codes_load(t: Tables) -> DataFrame:
+    """The code dictionary as its supplier writes it (single-byte charset, lines ended by a bare CR), through both layers."""
+    spec = datasets.COUNTRY_CODES
+    rows = t.nation.select(
+        F.col("n_nationkey").alias("cty_code"), F.col("n_name").alias("cty_name_english"),
+        F.lower("n_name").alias("cty_fullname_english"), F.substring("n_name", 1, 3).alias("cty_abbreviation"),
+        F.concat("n_name", F.lit(", region "), "n_regionkey").alias("cty_comments"),
+        F.substring("n_name", 1, 2).alias("iso2_digit_alpha"),
+        F.upper(F.substring("n_name", 1, 3)).alias("iso3_digit_alpha"),
+        (F.col("n_regionkey") + 1950).cast("string").alias("start_valid_year"),
+        (F.col("n_nationkey") + 2000).cast("string").alias("end_valid_year"),
+    )
+    path = scratch_path(t.spark, "country-codes")
+    rows.write.options(header=True, escape='"', lineSep="\r", encoding="ISO-8859-1").csv(path)
+    store = LayerStore(t.spark, scratch_path(t.spark, "country-layers"))
+    ingest.load_file(spec, store, path, "country_codes.csv")
+    return store.read(ingest.layer(spec, "L1")).select(spec.l1_columns)
+
+
+_REQUIRED = ", ".join(
+    f"('{iso3}', {int(number)})" for iso3, number in (pair.split() for pair in countries.REQUIRED_COUNTRIES.split(","))
+)
+
+
+@query(
+    "required_countries_cover",
+    f"""WITH req(iso3, iso_num) AS (VALUES {_REQUIRED}),
+    n AS (SELECT upper(substr(n_name, 1, 3)) AS iso3, n_nationkey FROM nation)
+    SELECT coalesce(req.iso3, n.iso3) AS iso3, CAST(iso_num AS INTEGER) AS iso_num, req.iso3 IS NOT NULL AS requirement,
+      n_nationkey
+    FROM req FULL OUTER JOIN n ON req.iso3 = n.iso3""",
+)
+def required_countries_cover(t: Tables) -> DataFrame:
+    """The whole required list against the nations named by their first three letters: which are covered, which not."""
+    required = countries.required_countries(t.spark)
+    nations = t.nation.select(F.upper(F.substring("n_name", 1, 3)).alias("n_iso3"), "n_nationkey")
+    joined = required.join(nations, F.col("iso3") == F.col("n_iso3"), "full_outer")
+    return joined.select(
+        F.coalesce("iso3", "n_iso3").alias("iso3"), "iso_num",
+        F.coalesce("requirement", F.lit(False)).alias("requirement"), "n_nationkey",
+    )
+
+
 @query(
     "reference_postcodes_load",
     """SELECT 'AB' || c_custkey AS postcode, c_name AS local_authority_district_name, c_mktsegment AS region_name, nullif(CAST(c_nationkey % 3 AS VARCHAR), '0') AS region_code,
