@@ -16,7 +16,7 @@ from tradeloom.rehearsal.registry import Tables, query
 from tradeloom.session import materialize, scratch_path
 from tradeloom.sources.archives import documents_of, lines_of
 from tradeloom.sources.delimited import LATIN, read_delimited
-from tradeloom.sources.upload import profile_upload, read_upload
+from tradeloom.sources.upload import UploadError, profile_upload, read_upload
 from tradeloom.spec import INCREMENTAL, DatasetSpec
 
 
@@ -270,6 +270,35 @@ def country_codes_load(t: Tables) -> DataFrame:
     return store.read(ingest.layer(spec, "L1")).select(spec.l1_columns)
 
 
+@query(
+    "upload_checks",
+    """SELECT 'good' AS file, 'rows ' || count(*) AS outcome FROM customer
+    UNION ALL SELECT 'header_only', 'no data found below the header'
+    UNION ALL SELECT 'bad_header', 'a column name is a lowercase letter followed by lowercase letters, digits or '
+      || 'underscores; not valid: "Key Col"'""",
+)
+def upload_checks(t: Tables) -> DataFrame:
+    """Uploads written from a table: a good one, one with a header and no data, one with a column name that is not
+    valid. Each is profiled as an upload is before it is confirmed; what fails is told by its message."""
+    base = scratch_path(t.spark, "upload-checks")
+    rows = t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
+    files = {
+        "good": rows,
+        "header_only": rows.where(F.lit(False)),
+        "bad_header": rows.withColumnRenamed("key", "Key Col"),
+    }
+    outcomes = []
+    for name, df in files.items():
+        path = f"{base}/{name}.csv"
+        df.coalesce(1).write.option("header", True).csv(path)  # an upload is one file with one header
+        try:
+            profile_upload(t.spark, path)
+            outcomes.append((name, f"rows {read_upload(t.spark, path).count()}"))
+        except UploadError as e:
+            outcomes.append((name, str(e)))
+    return t.spark.createDataFrame(outcomes, "file string, outcome string")
+
+
 _REQUIRED = ", ".join(
     f"('{iso3}', {int(number)})" for iso3, number in (pair.split() for pair in countries.REQUIRED_COUNTRIES.split(","))
 )
