@@ -158,14 +158,27 @@ def infer_types_query(t: Tables) -> DataFrame:
 
 @query(
     "csv_profile",
-    """WITH first AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 4)
-    SELECT 'key' AS "column", 'integer' AS type, string_agg(lpad(CAST(o_orderkey AS VARCHAR), 12, '0'), '|' ORDER BY o_orderkey) AS samples FROM first
-    UNION ALL SELECT 'day', 'date', string_agg(strftime(o_orderdate, '%Y-%m-%d'), '|' ORDER BY o_orderkey) FROM first
-    UNION ALL SELECT 'moment', 'timestamp', string_agg(strftime(o_orderdate, '%Y-%m-%dT16:30:00Z'), '|' ORDER BY o_orderkey) FROM first""",
+    """WITH first AS (SELECT * FROM orders ORDER BY o_orderkey LIMIT 4),
+    s AS (SELECT
+      string_agg(lpad(CAST(o_orderkey AS VARCHAR), 12, '0'), '|' ORDER BY o_orderkey) AS key,
+      string_agg(CAST(o_totalprice AS VARCHAR), '|' ORDER BY o_orderkey) AS price,
+      string_agg(CASE WHEN o_orderstatus = 'P' THEN '' ELSE CAST(o_orderstatus = 'O' AS VARCHAR) END, '|' ORDER BY o_orderkey) AS open,
+      string_agg(strftime(o_orderdate, '%Y-%m-%d'), '|' ORDER BY o_orderkey) AS day,
+      string_agg(strftime(o_orderdate, '%Y-%m-%dT16:30:00Z'), '|' ORDER BY o_orderkey) AS moment,
+      string_agg(CASE WHEN o_orderkey = 7 THEN 'n.a.' ELSE CAST(o_custkey AS VARCHAR) END, '|' ORDER BY o_orderkey) AS mixed,
+      string_agg('', '|' ORDER BY o_orderkey) AS blank
+    FROM first)
+    SELECT 'key' AS "column", 'integer' AS type, key AS samples FROM s
+    UNION ALL SELECT 'price', 'numeric', price FROM s
+    UNION ALL SELECT 'open', 'boolean', open FROM s
+    UNION ALL SELECT 'day', 'date', day FROM s
+    UNION ALL SELECT 'moment', 'timestamp', moment FROM s
+    UNION ALL SELECT 'mixed', CASE WHEN (SELECT count(*) FROM orders WHERE o_orderkey = 7) = 1 THEN 'text' ELSE 'integer' END, mixed FROM s
+    UNION ALL SELECT 'blank', 'text', blank FROM s""",
 )
 def csv_profile(t: Tables) -> DataFrame:
-    """The first rows by key, and types from every row."""
-    found = profile(upload_columns(t).select("key", "day", "moment"), order_by="key")
+    """All seven columns of the upload: the first rows by key, and types from every row."""
+    found = profile(upload_columns(t), order_by="key")
     return found.select("column", "type", F.array_join("samples", "|").alias("samples"))
 
 
