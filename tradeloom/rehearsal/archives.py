@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from tradeloom.operators.store import LayerStore
 from tradeloom.plans import accounts, countries, datasets, ingest, licensing
 from tradeloom.rehearsal.registry import Tables, query
 from tradeloom.session import materialize, scratch_path
-from tradeloom.sources.archives import documents_of, lines_of
+from tradeloom.sources.archives import BATCH_BYTES, documents_of, lines_of
 from tradeloom.sources.delimited import LATIN, read_delimited
 from tradeloom.sources.upload import UploadError, profile_upload, read_upload
 from tradeloom.spec import INCREMENTAL, DatasetSpec
@@ -23,26 +26,52 @@ from tradeloom.spec import INCREMENTAL, DatasetSpec
 def zipped(rows: DataFrame, nested: bool) -> DataFrame:
     """``(file, content)``: the ``(file, member, text)`` rows of a file as one archive, nested ones as archives inside it.
 
-    The rows of a file are the orders of one customer.
+    The rows of a file are the orders of one customer. Spark sorts them by file, member and text; a task holds the texts
+    of one member and the archive that it is writing.
     """
 
-    def pack(group: pd.DataFrame) -> pd.DataFrame:
+    def archive(group: Iterator[tuple]) -> bytes:
         outer = io.BytesIO()
+        folders: dict[str, tuple[io.BytesIO, zipfile.ZipFile]] = {}
+
+        def add(to: zipfile.ZipFile, name: str, data: str | bytes) -> None:
+            to.writestr(zipfile.ZipInfo(name), data)
+
         with zipfile.ZipFile(outer, "w") as z:
-            folders: dict[str, io.BytesIO] = {}
-            for member, part in group.sort_values("text").groupby("member"):
-                text = "\n".join(part["text"])
+            for member, part in groupby(group, itemgetter(1)):
+                if member is None:
+                    continue
+                text = "\n".join(row[2] for row in part)
                 folder, _, name = member.rpartition(".zip/")
                 if nested and folder:
-                    with zipfile.ZipFile(folders.setdefault(folder, io.BytesIO()), "a") as inner:
-                        inner.writestr(name, text)
+                    if folder not in folders:
+                        data = io.BytesIO()
+                        folders[folder] = data, zipfile.ZipFile(data, "w")
+                    add(folders[folder][1], name, text)
                 else:
-                    z.writestr(member, text)
-            for folder, data in folders.items():
-                z.writestr(f"{folder}.zip", data.getvalue())
-        return pd.DataFrame({"file": [group["file"].iloc[0]], "content": [outer.getvalue()]})
-
-    return rows.groupBy("file").applyInPandas(pack, "file string, content binary")
+                    add(z, member, text)
+            for folder, (data, inner) in folders.items():
+                inner.close()
+                add(z, f"{folder}.zip", data.getvalue())
+        return outer.getvalue()
+
+    def batch_of(files: list, contents: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(contents, pa.binary())], names=["file", "content"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        files, contents, size = [], [], 0
+        for file, group in groupby(found, itemgetter(0)):
+            files.append(file)
+            contents.append(archive(group))
+            size += len(contents[-1])
+            if size > BATCH_BYTES:
+                yield batch_of(files, contents)
+                files, contents, size = [], [], 0
+        yield batch_of(files, contents)
+
+    sorted_rows = rows.select("file", "member", "text").repartition("file").sortWithinPartitions("file", "member", "text")
+    return sorted_rows.mapInArrow(pack, "file string, content binary")
 
 
 @query(
