@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import re
 import xml.etree.ElementTree as ET
+from collections.abc import Iterator
+from functools import lru_cache
 from itertools import count
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,6 +129,7 @@ def rule_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, RULE_SCHEMA)
 
 
+@lru_cache(4096)
 def _local(name: str) -> str:
     return name.rsplit("}", 1)[-1]
 
@@ -149,13 +152,13 @@ def document_elements(doc: str, content: bytes) -> list[tuple]:
         root = None
         for event, item in parser.read_events():
             if event == "start-ns":
-                if root is None:
-                    add("namespace", text=item[1])
-            elif root is None:
+                add("namespace", text=item[1])
+            else:
                 root = item
+                break  # namespaces of inner elements do not count
         for element in root.iter():
-            name, tag = _local(str(element.tag)), (element.get("name") or "").rsplit(":", 1)
-            parts = {_local(str(p.tag)): p for p in element.iter()} if name == "context" else {}
+            name, tag = _local(element.tag), (element.get("name") or "").rsplit(":", 1)
+            parts = {_local(p.tag): p for p in element.iter()} if name == "context" else {}
             if "period" in parts:
                 day = parts.get("instant")
                 start, end = (day, day) if day is not None else (parts.get("startDate"), parts.get("endDate"))
@@ -166,7 +169,7 @@ def document_elements(doc: str, content: bytes) -> list[tuple]:
             if suffix or element.get("contextRef") or name[:1].isupper():
                 add("element", name, suffix, element, element.text)
             if suffix:
-                span = next((s for s in element.iter() if s is not element and _local(str(s.tag)) == "span"), None)
+                span = next((s for s in element.iter() if s is not element and _local(s.tag) == "span"), None)
                 if span is not None:
                     add("span", "span", suffix, span, span.text)
     except ET.ParseError as e:
@@ -180,24 +183,32 @@ BATCH_ELEMENTS = 20_000
 
 def read_elements(documents: DataFrame) -> DataFrame:
     names = re.findall(r"(\w+) \w+(?:,|$)", ELEMENT_SCHEMA)
+    types = [pa.int32() if name == "position" else pa.string() for name in names]
 
-    def parse(batches):
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows) if rows else [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for doc, content in zip(batch["document"], batch["content"]):
+            for doc, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows += document_elements(doc, content)
                 if len(rows) > BATCH_ELEMENTS:
-                    yield pd.DataFrame(rows, columns=names, dtype=object)
+                    yield batch_of(rows)
                     rows = []
-            yield pd.DataFrame(rows, columns=names, dtype=object)
+            yield batch_of(rows)
 
-    return documents.select("document", "content").mapInPandas(parse, ELEMENT_SCHEMA)
+    return documents.select("document", "content").mapInArrow(parse, ELEMENT_SCHEMA)
 
 
 def typed_text(kind: Column, clean: Column) -> Column:
-    """A cleaned value of a text, date or yes/no type in its standard spelling; unreadable values are NULL."""
+    """A cleaned value of a text, date or yes/no type in its standard spelling; unreadable values are NULL.
+
+    The many date formats stand in a lambda: in the code made for every row they would keep the JVM from compiling it.
+    """
     return (
-        F.when(kind == "date", X.free_date(clean).cast("string"))
+        F.when(kind == "date", F.transform(F.array(clean), lambda c: X.free_date(c))[0].cast("string"))
         .when(kind == "bool", X.strict_bool(clean).cast("string"))
         .when(kind == "reversed bool", X.strict_bool(clean, reverse=True).cast("string"))
         .when(kind == "text", clean)
@@ -211,35 +222,28 @@ def typed_number(kind: Column, clean: Column, sign: Column, scale: Column) -> Co
 
 def candidate_values(elements: DataFrame, rules: DataFrame) -> DataFrame:
     """Elements that a rule points to, with the typed value; the rule table is a fixed short list."""
-    names = elements.where(F.col("kind").isin("element", "span")).select(
-        "doc",
-        "position",
-        "context",
-        "sign",
-        "scale",
-        X.clean_value(F.col("text")).alias("clean"),
-        F.explode(
-            F.when(F.col("kind") == "span", F.array(F.struct(F.lit("span").alias("source"), F.col("tag").alias("name"))))
-            .otherwise(
-                F.array(
-                    F.struct(F.lit("element").alias("source"), F.col("element").alias("name")),
-                    F.struct(F.lit("tag").alias("source"), F.col("tag").alias("name")),
-                )
-            )
-        ).alias("n"),
+    named = F.when(F.col("kind") == "span", F.array(F.struct(F.lit("span").alias("source"), F.col("tag").alias("name"))))
+    named = named.otherwise(
+        F.array(
+            F.struct(F.lit("element").alias("source"), F.col("element").alias("name")),
+            F.struct(F.lit("tag").alias("source"), F.col("tag").alias("name")),
+        )
     )
+    read = ["doc", "position", "context", "sign", "scale", "text"]
+    names = elements.where(F.col("kind").isin("element", "span")).select(*read, F.explode(named).alias("n"))
     context = F.coalesce("context", F.lit(""))
-    return (
-        names.select("*", "n.source", "n.name")
+    chosen = (
+        names.select(*read, "n.source", "n.name")
         .join(F.broadcast(rules), ["source", "name"])
         .where(F.col("wanted").isNull() | F.contains(context, F.col("wanted")))
         .where(F.col("unwanted").isNull() | ~F.contains(context, F.col("unwanted")))
-        .select(
-            "doc", "position", "context", "attribute", "general", "priority",
-            typed_text(F.col("type"), F.col("clean")).alias("value"),
-            typed_number(F.col("type"), F.col("clean"), F.col("sign"), F.col("scale")).alias("number"),
-            F.col("type").isin("number", "prefixed").alias("numeric"), "clean",
-        )
+    )
+    # Only what a rule points to is cleaned, once a row.
+    return chosen.withColumn("clean", X.clean_value(F.col("text"))).select(
+        "doc", "position", "context", "attribute", "general", "priority",
+        typed_text(F.col("type"), F.col("clean")).alias("value"),
+        typed_number(F.col("type"), F.col("clean"), F.col("sign"), F.col("scale")).alias("number"),
+        F.col("type").isin("number", "prefixed").alias("numeric"), "clean",
     )
 
 
@@ -249,23 +253,28 @@ def period_values(candidates: DataFrame, contexts: DataFrame, attributes: list[s
     A period exists as soon as a rule's element refers to it, even when the value is blank.
     """
     usable = F.when(F.col("number").isNotNull(), F.struct("priority", "position"))
-    period = ["doc", "period_start", "period_end"]
+    period = ["doc_hash", "doc", "period_start", "period_end"]
+    # Dealt out by document once: both groupings and the join with the other columns keep to that. Names of documents
+    # begin alike, so rows are sorted by their hash first.
     best = (
         candidates.where(~F.col("general"))
         .join(contexts, ["doc", "context"])
+        .select("attribute", "priority", "position", "number", F.xxhash64("doc").alias("doc_hash"), *period[1:])
+        .repartition("doc")
         .groupBy(*period, "attribute")
         .agg(F.min_by("number", usable).alias("number"))
     )
     return best.groupBy(*period).agg(
         *[F.max(F.when(F.col("attribute") == a, F.col("number"))).alias(a) for a in attributes]
-    )
+    ).drop("doc_hash")
 
 
 def general_values(candidates: DataFrame, attributes: list[str]) -> DataFrame:
     """One row per document: the first rule whose last element is usable."""
     value = F.coalesce("value", F.col("number").cast("string"))
     last = (
-        candidates.where("general")
+        candidates.where(F.col("general") & F.col("doc").isNotNull())
+        .repartition("doc")
         .groupBy("doc", "attribute", "priority")
         .agg(F.max_by(value, "position").alias("value"))
         .where("value is not null")
@@ -282,24 +291,25 @@ def period_date(column: str) -> Column:
 
 def accounts_rows(elements: DataFrame, rules: DataFrame) -> DataFrame:
     """Wide rows; a document without any period still gives one row."""
-    namespaces = (
-        elements.where((F.col("kind") == "namespace") & F.col("text").isin(TAXONOMIES))
+    # A document without any of these is one still: a flag for each taxonomy needs no list and no join.
+    named = [F.max((F.col("kind") == "namespace") & (F.col("text") == name)) for name in TAXONOMIES]
+    used = F.array(*[F.when(flag, F.lit(name)) for flag, name in zip(named, TAXONOMIES)])
+    documents = (
+        elements.where("kind <> 'error'")
         .groupBy("doc")
-        .agg(X.joined_allowed(F.collect_set("text"), TAXONOMIES).alias("taxonomy"))
+        .agg(X.joined_allowed(used, TAXONOMIES).alias("taxonomy"))
+        .withColumn("taxonomy", F.when(F.col("doc").isNotNull(), F.col("taxonomy")))
     )
     contexts = (
         elements.where("kind = 'context'")
-        .groupBy("doc", F.col("tag").alias("context"))
+        .groupBy(F.xxhash64("doc").alias("doc_hash"), "doc", F.col("tag").alias("context"))
         .agg(F.max_by(F.struct("period_start", "period_end"), "position").alias("p"))
         .select("doc", "context", "p.*")
     )
     candidates = candidate_values(elements, rules)
     names = X.document_name_parts(F.col("doc"))
     return (
-        elements.where("kind <> 'error'")
-        .select("doc")
-        .distinct()
-        .join(namespaces, "doc", "left")
+        documents
         .join(general_values(candidates, list(GENERAL_RULES)), "doc", "left")
         .join(period_values(candidates, contexts, list(PERIOD_RULES)), "doc", "left")
         .select(

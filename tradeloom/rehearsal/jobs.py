@@ -113,7 +113,8 @@ def xbrl_facts_pivot(t: Tables) -> DataFrame:
         none.alias("period_start"), none.alias("period_end"),
     )
     years = F.explode(F.array(F.lit("1995"), F.lit("1996")))
-    contexts = elements.groupBy("doc").agg(F.min("position").alias("position")).select("doc", "position", years.alias("tag")).select(
+    orders = t.lineitem.groupBy("l_orderkey").agg(F.min(order).alias("position"))  # numbers sort faster than names
+    contexts = orders.select(doc.alias("doc"), "position", years.alias("tag")).select(
         "doc", "position", F.lit("context").alias("kind"), "tag", F.concat("tag", F.lit("-01-01")).alias("period_start"),
         F.concat("tag", F.lit("-12-31")).alias("period_end"),
     )
