@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,22 +78,26 @@ def archive_documents(spark: SparkSession, path: str) -> DataFrame:
 def documents_of(archives: DataFrame) -> DataFrame:
     """The files inside archives given as ``(file, content)``."""
 
-    def read(batches):
-        names = ["file", "document", "content"]
+    def batch_of(rows: list[tuple[str, str, bytes]]) -> pa.RecordBatch:
+        columns = zip(*rows) if rows else [[]] * 3
+        types = [pa.string(), pa.string(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["file", "document", "content"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple[str, str, bytes]] = []
             size = 0
-            for file, content in zip(batch["file"], batch["content"]):
+            for file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for member, opened in members(content):
                     with opened() as handle:
                         rows.append((file, member.rsplit("/", 1)[-1], handle.read()))
                     size += len(rows[-1][2])
                     if size > BATCH_BYTES:
-                        yield pd.DataFrame(rows, columns=names)
+                        yield batch_of(rows)
                         rows, size = [], 0
-            yield pd.DataFrame(rows, columns=names)
+            yield batch_of(rows)
 
-    documents = archives.select("file", "content").mapInPandas(read, "file string, document string, content binary")
+    documents = archives.select("file", "content").mapInArrow(read, "file string, document string, content binary")
     return documents.repartition("file", "document")
 
 
