@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tradeloom.llm import dart
 from tradeloom.llm.common import WordHashes
@@ -99,6 +100,34 @@ def test_links_far_from_each_other_in_a_crowded_bucket(spark):
     assert got == want
 
 
+def test_a_cell_gives_fewer_links_than_texts():
+    rng = random.Random(3)
+    hub = [f"w{i}" for i in range(600)]
+    texts = []
+    for i in range(60):  # alike and similar, all in the same buckets
+        one = list(hub)
+        one[rng.randrange(600)] = f"x{i}"
+        texts.append(" ".join(one))
+    hashes = WordHashes()
+    pairs = [dart.weighted_shingles(t.split(), hashes) for t in texts]
+    owner = np.repeat(np.arange(60), [len(e) for e, _ in pairs])
+    signed = dart.signatures(np.concatenate([e for e, _ in pairs]), np.concatenate([c for _, c in pairs]).astype(float), owner, 60)
+    links = []
+    for band in range(dart.DARTS // dart.ROWS):  # one bucket of all texts per band, as a cell of its own
+        columns = [
+            pa.array([band] * 60), pa.array([dart.BOTH] * 60, pa.int32()), pa.array(range(60)), pa.array(range(60)),
+            pa.array([band] * 60, pa.int32()), pa.array([r.astype("<u4").tobytes() for r in signed]), pa.array(texts),
+        ]
+        batch = pa.RecordBatch.from_arrays(columns, names=["cell", "side", "rep", "root", "band", "signature", "text"])
+        found = [row for out in dart._across(0.8)(iter([batch.slice(0, 25), batch.slice(25)])) for row in out.to_pylist()]
+        assert len(found) < 60
+        links += [(row["u"], row["v"]) for row in found]
+    classes = list(range(60))
+    for u, v in links:
+        classes = [min(classes[u], classes[v]) if c in (classes[u], classes[v]) else c for c in classes]
+    assert set(classes) == {0}
+
+
 def test_least_equal_coordinates():
     assert dart.least_equal(0.8) == 56 and dart.least_equal(1.0) == 96
 

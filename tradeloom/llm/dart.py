@@ -14,7 +14,8 @@ A group of any size is dealt out by ranges of that order. These links only save
 several components afterwards, each text is compared with all texts of the other components, in cells of two blocks of
 about ``BLOCK`` texts, whatever the size of the bucket. Signatures are compared first, and pairs that agree in fewer
 coordinates than ``least_equal`` are passed over, as a pair of the least similarity does less than once in a million
-times; every other pair is verified exactly on whole texts. Links of similarity 0.8 share a bucket but for 3 in a million.
+times; every other pair is verified exactly on whole texts inside the cell, unless links of the cell connect it already,
+so that pairs are never rows. Links of similarity 0.8 share a bucket but for 3 in a million.
 
 Cases: documents with one to four words have one shingle, their words; those without a word (null, empty) are alone.
 Ids that repeat belong to one document per text. Ties take the least id. Only id and text are read.
@@ -188,11 +189,16 @@ def least_equal(least: float, darts: int = DARTS) -> int:
     return darts
 
 
-def _across(equal: int):
-    """Of cells that lie together, the pairs of different components with at least ``equal`` equal coordinates."""
+def _across(least: float):
+    """Of cells that lie together, links (u, v) that join the components which a similar pair connects.
 
-    def pairs(cell, side, rep, root, signed) -> pa.RecordBatch | None:
-        us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    A pair is compared in the first band that both texts share and in no other, and only while nothing that was found
+    before connects it, likely pairs first. So a cell gives fewer links than it has texts, however many pairs are alike.
+    """
+    equal = least_equal(least)
+
+    def candidates(cell, side, rep, root, band, signed) -> tuple[np.ndarray, np.ndarray]:
+        first, second, share = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for d in range(1, len(cell)):
             together = np.flatnonzero(cell[d:] == cell[:-d])
             if not len(together):
@@ -200,35 +206,68 @@ def _across(equal: int):
             i, j = together, together + d
             ok = (root[i] != root[j]) & ((side[i] != side[j]) | (side[i] == BOTH))
             i, j = i[ok], j[ok]
-            ok = (signed[i] == signed[j]).sum(1) >= equal
-            us.append(np.minimum(rep[i[ok]], rep[j[ok]]))
-            vs.append(np.maximum(rep[i[ok]], rep[j[ok]]))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
+            same = signed[i] == signed[j]
+            agree = same.sum(1)
+            ok = (agree >= equal) & (same.reshape(len(same), DARTS // ROWS, ROWS).all(2).argmax(1) == band[i])
+            first.append(i[ok])
+            second.append(j[ok])
+            share.append(agree[ok])
+        by = np.argsort(-np.concatenate(share), kind="stable")
+        return np.concatenate(first)[by], np.concatenate(second)[by]
+
+    def links(cell, side, rep, root, band, signed, text, hashes) -> pa.RecordBatch:
+        parent: dict[int, int] = {}
+        known: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
+
+        def find(x: int) -> int:
+            while x in parent:
+                parent[x] = x = parent.get(parent[x], parent[x])
+            return x
+
+        def shingled(i: int) -> tuple[np.ndarray, np.ndarray, int]:
+            if i not in known:
+                found, counts = weighted_shingles(WORDS.findall(text[i]), hashes)
+                known[i] = found, counts, int(counts.sum())
+            return known[i]
+
+        us, vs = [], []
+        for i, j in zip(*(x.tolist() for x in candidates(cell, side, rep, root, band, signed))):
+            x, y = find(int(root[i])), find(int(root[j]))
+            if x == y:
+                continue
+            a, b = shingled(i), shingled(j)
+            if min(a[2], b[2]) >= least * max(a[2], b[2]) and weighted_jaccard(a[:2], b[:2]) >= least:
+                parent[max(x, y)] = min(x, y)
+                us.append(min(rep[i], rep[j]))
+                vs.append(max(rep[i], rep[j]))
+        return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [np.asarray(batch.column(k)) for k in range(4)]
-            rows.append(np.stack([np.frombuffer(s, "<u4") for s in batch.column(4).to_pylist()]))
+            rows = [np.asarray(batch.column(k)) for k in range(5)]
+            rows.append(np.stack([np.frombuffer(s, "<u4") for s in batch.column(5).to_pylist()]))
+            rows.append(np.array(batch.column(6).to_pylist(), object))
             if held is not None:
                 rows = [np.concatenate(x) for x in zip(held, rows)]
             # The last cell may go on in the next batch.
             end = int(np.searchsorted(rows[0], rows[0][-1]))
             if end:
-                yield pairs(*(x[:end] for x in rows))
+                yield links(*(x[:end] for x in rows), hashes)
             held = [x[end:] for x in rows]
         if held is not None:
-            yield pairs(*held)
+            yield links(*held, hashes)
 
     return run
 
 
-def _open_pairs(members: DataFrame, found: DataFrame, distinct: DataFrame, least: float) -> DataFrame:
-    """The pairs (u, v) of a bucket that are not connected yet and whose signatures allow the similarity."""
+def _open_links(members: DataFrame, found: DataFrame, distinct: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (u, v) between texts of a bucket that are not connected yet, enough to connect what is similar."""
     rooted = members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    rooted = materialize(rooted.select("key", "rep", F.coalesce("root", "rep").alias("root")), "near-rooted")
+    rooted = materialize(rooted.select("key", "band", "rep", F.coalesce("root", "rep").alias("root")), "near-rooted")
     several = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
     opened = materialize(rooted.join(several, "key"), "near-open")
     # A large component has blocks of its own, the small ones of a bucket share some.
@@ -241,7 +280,7 @@ def _open_pairs(members: DataFrame, found: DataFrame, distinct: DataFrame, least
     )
     placed = opened.join(parts, ["key", "root"])
     dealt = F.xxhash64(F.lit(7), F.when(F.col("own").isNull(), F.col("root")).otherwise(F.col("rep")))
-    placed = placed.select("key", "rep", "root", "own", F.xxhash64("own", F.pmod(dealt, F.col("blocks"))).alias("block"))
+    placed = placed.select("key", "band", "rep", "root", "own", F.xxhash64("own", F.pmod(dealt, F.col("blocks"))).alias("block"))
     placed = materialize(placed, "near-blocks")
     blocks = placed.groupBy("key", "block").agg(F.any_value("own").alias("own"))
     blocks = materialize(blocks, "near-block-names")
@@ -251,9 +290,10 @@ def _open_pairs(members: DataFrame, found: DataFrame, distinct: DataFrame, least
     cell = F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with"))
     side = F.when(F.col("block") == F.col("with"), BOTH).otherwise((F.col("block") < F.col("with")).cast("int"))
     cells = cells.select("key", "block", cell.alias("cell"), side.cast("int").alias("side"))
-    rows = placed.join(cells, ["key", "block"]).join(distinct, "rep")
-    rows = rows.repartition("cell").sortWithinPartitions("cell").select("cell", "side", "rep", "root", "signature")
-    return materialize(rows.mapInArrow(_across(least_equal(least)), "u long, v long").distinct(), "near-across")
+    rows = placed.join(cells, ["key", "block"]).join(distinct, "rep").join(texts, "rep")
+    rows = rows.repartition("cell").sortWithinPartitions("cell")
+    rows = rows.select("cell", "side", "rep", "root", "band", "signature", "text")
+    return materialize(rows.mapInArrow(_across(least), "u long, v long").distinct(), "near-across")
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -313,8 +353,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILAR, id_col: str = "doc_
     texts = materialize(rows.join(wanted, F.col("doc_id") == F.col("rep"), "left_semi").select(F.col("doc_id").alias("rep"), "text").distinct(), "near-compared")
     links = _links(pairs, texts, least)
     found = materialize(components(links), "near-components")
-    across = _open_pairs(members.select("key", "rep"), found, distinct, least)
-    more = _links(across, texts, least)
+    more = _open_links(members.select("key", "band", "rep"), found, distinct, texts, least)
     if not more.isEmpty():
         # What was found stands for the links within its components.
         known = found.select(F.col("root").alias("u"), F.col("node").alias("v"))
