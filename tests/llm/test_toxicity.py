@@ -2,6 +2,7 @@ import math
 import random
 import zlib
 
+import numpy as np
 import regex
 from pyspark.sql import functions as F
 
@@ -138,3 +139,37 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.score(docs, labels, F.col("doc_id") % 3 == 1).collect() == []
+
+
+def test_rare_words_are_counted_exactly(spark, monkeypatch):
+    """Most words outside the numbered ones, most of them unknown to the model, in several shards and rounds."""
+    monkeypatch.setattr(toxicity, "HEAD_WORDS", 6)
+    rows = [(i, f"{t} only{i} also{i % 40}", y) for i, t, y in corpus(90, seed=3)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(999, None), (1000, "")] + [rows[0][:2]], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    found = toxicity.score(docs, labels, held).collect()
+    assert len(found) == 93
+    got = {r.doc_id: r.d for r in found}
+    train = [(y, t) for i, t, y in [*rows, rows[0]] if zlib.crc32(str(i).encode()) % 3 != 1]
+    for i, w in zip([r[0] for r in rows] + [999, 1000], plain_d(train, [t for _, t, _ in rows] + [None, ""])):
+        assert abs(got[i] - w) < 1e-9, (i, got[i], w)
+
+
+def test_blocks_are_small_and_whole():
+    rng = np.random.default_rng(7)
+    words = np.minimum(rng.zipf(1.3, (3, 60_000)), 100_000) + toxicity.FIRST
+    words = np.where(rng.random(words.shape) < 0.01, -words * 10**12, words)
+    u, v, w = words[:, toxicity._sorted(*words)[0]]
+    new = toxicity._new(u, v, w)
+    counts, rows = np.diff(np.append(new, len(u))), rng.integers(0, 1000, len(u))
+    block = toxicity.pack(u[new], v[new], w[new], counts, rows)
+    for a, b in zip(toxicity.unpack(block), (u[new], v[new], w[new], counts, rows)):
+        assert np.array_equal(a, b)
+    assert len(block) < 8 * len(u)  # a row of keys takes 48 bytes
+
+
+def test_shuffle_files_go_and_the_setting_stays(spark):
+    before = spark.conf.get(toxicity.CLEANUP, None)
+    assert toxicity._written(spark.range(9).repartition(3), "toxicity-test").count() == 9
+    assert spark.conf.get(toxicity.CLEANUP, None) == before
