@@ -1,8 +1,10 @@
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
 
@@ -173,3 +175,63 @@ def test_shuffle_files_go_and_the_setting_stays(spark):
     before = spark.conf.get(toxicity.CLEANUP, None)
     assert toxicity._written(spark.range(9).repartition(3), "toxicity-test").count() == 9
     assert spark.conf.get(toxicity.CLEANUP, None) == before
+
+
+def shard_rows(n):
+    """Blocks of one shard with about ``n`` trigrams and the bigrams at their ends, some with rare words."""
+    rng = np.random.default_rng(11)
+    words = np.minimum(rng.zipf(1.3, (3, n)), 100_000) + toxicity.FIRST
+    words = np.where(rng.random(words.shape) < 0.05, -words * 10**12, words)
+    by, new = toxicity._sorted(*words)
+    blocks = []
+    for u, v, w in np.array_split(words[:, by[new]], 20, axis=1):
+        x, y = np.unique(np.stack([v, w]), axis=1)
+        zeros = np.zeros(len(x), np.int64)
+        u, v, w = np.concatenate([u, x]), np.concatenate([v, y]), np.concatenate([w, zeros + toxicity.PAD])
+        c_t, c_o = (np.concatenate([rng.integers(0, 4, len(u) - len(x)), zeros]) for _ in range(2))
+        c_o[: len(u) - len(x)] += c_t[: len(u) - len(x)] == 0
+        n_t, n_o = rng.integers(1, 5, (2, len(u)))
+        low = toxicity._rare(u, v, w, c_t + c_o)
+        more = toxicity._doubles(*rng.uniform(0.001, 0.1, (2, int(low.sum()))))
+        blocks.append((toxicity.pack(u, v, w, c_t, np.concatenate([c_o, n_t, n_o]), more), (u, v, w)))
+    head = np.ones((len(toxicity.STATS), toxicity.HEAD_WORDS + toxicity.FIRST))
+    numbers = {k: (0.5, 0.75, 0.9) for k in ("d_t", "d_o", "d2_t", "d2_o", "d1")} | {"unigrams": (1e6, 1e3, 1e-6)}
+    return pa.table({"block": pa.array([b for b, _ in blocks], pa.binary())}), [x for _, x in blocks], head, numbers
+
+
+def test_terms_of_a_shard_take_little_memory():
+    blocks, asked, head, numbers = shard_rows(400_000)
+    n = sum(len(x[0]) for x in asked)
+    tracemalloc.start()
+    toxicity.Terms(blocks, head, numbers)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 * n, peak / n
+
+
+def test_terms_do_not_depend_on_the_parts(monkeypatch):
+    blocks, asked, head, numbers = shard_rows(30_000)
+    found = []
+    for parts in (1, 8, 64):
+        monkeypatch.setattr(toxicity, "PARTS", parts)
+        terms = toxicity.Terms(blocks, head, numbers)
+        assert np.all(terms.pairs.keys[1:] > terms.pairs.keys[:-1])
+        found.append(np.concatenate([terms.of(*x) for x in asked]))
+    assert np.any(found[0]) and np.array_equal(found[0], found[1]) and np.array_equal(found[0], found[2])
+
+
+def test_texts_are_read_in_small_batches(spark, monkeypatch):
+    seen, before = [], spark.conf.get(toxicity.READ_ROWS)
+    monkeypatch.setattr(toxicity, "materialize", lambda df, name: seen.append(int(df.sparkSession.conf.get(toxicity.READ_ROWS))))
+    toxicity._written(spark.range(9), "toxicity-test")
+    assert seen[0] <= 1_000 and spark.conf.get(toxicity.READ_ROWS) == before
+
+
+def test_the_result_reads_no_text_again(spark, tmp_path):
+    rows = corpus(40)
+    spark.createDataFrame([(i, t) for i, t, _ in rows] + [(None, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    out = toxicity.score(docs, labels, F.crc32(F.col("doc_id").cast("string")) % 3 == 1)
+    assert not [x for x in out.inputFiles() if f"{tmp_path}/docs" in x]
+    assert out.count() == 41 and out.where("d is null").count() == 0
