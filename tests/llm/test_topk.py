@@ -59,3 +59,29 @@ def test_pruning_keeps_ties_and_skips_short_vectors():
     out = topk.best(np.array([-1]), cands[:1] * 3, np.array([-np.inf]), ids, cands, np.eye(16), 5)
     scores = (cands @ (cands[0] * 3)).astype(int)
     assert [(v, s) for _, v, s in out] == sorted(zip(ids.tolist(), scores.tolist()), key=lambda x: (-x[1], x[0]))[:5]
+
+
+def test_cells_hold_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 5)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "CELLS", 2)
+    rng = random.Random(8)
+    rows = [(i, [float(F32(rng.gauss(0, 1) * rng.choice([1, 1, 3]))) for _ in range(6)]) for i in range(200)]
+    rows += [(500, rows[7][1])] * 90 + [(501 + i, rows[9][1]) for i in range(40)]  # one id that fills many blocks; ties
+    asked = [0, 7, 9, 11, 60, 199, 500, 505]
+    assert got(spark, rows, asked) == plain(rows, asked, 10)
+    monkeypatch.setattr(topk, "CELL_BYTES", 8 * 6 * 20)  # four blocks of five in a cell
+    assert got(spark, rows, asked) == plain(rows, asked, 10)
+
+
+def test_no_block_passes_through_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 8)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    rng = random.Random(9)
+    rows = [(i, [float(F32(rng.gauss(0, 1))) for _ in range(8)]) for i in range(400)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    out = topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+    assert sorted(map(tuple, out.collect())) == [tuple(r) for r in plain(rows, range(0, 400, 20), 10)]
+    ran = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert any("isFinalPlan=true" in line for line in ran)
+    assert not [line for line in ran if "Broadcast" in line and "Join" in line and "vec_id" not in line]

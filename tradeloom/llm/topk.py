@@ -8,8 +8,10 @@ length are skipped once the length of query and candidate cannot reach the k-th
 whose rotated partial sum plus the product of the residual lengths cannot; what is left is scored exactly. The bounds
 are widened by the rounding error of double precision, and equal scores are kept for the tie rule.
 
-Queries are a stated set that meets all rows, block by block; memory is bounded by two blocks. The best k of a block
-pair are all that is shuffled.
+Queries are a stated set that meets all rows, block by block. Blocks of neighbouring length share a cell, which one task
+holds while all queries pass; so queries are copied once a cell, not once a block, and the number of cells grows only
+with ``CELL_BYTES`` of vectors each. Queries and blocks meet in one exchange: no plan can send either through the driver.
+Memory is bounded by a cell and a block of queries. The best k of a query in a cell are all that is shuffled.
 
 Cases: vectors that are null, empty, of another number of dimensions than most (ties: the smaller number), or that hold null or non-finite components take no part. Scores beyond 64 bits are an error of the input and
 saturate. Equal ids are different rows, but a query that repeats an id is the least of its vectors, and rows of its own id
@@ -19,6 +21,7 @@ never answer it. Only id and vector are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,8 @@ from tradeloom.session import materialize
 
 BLOCK = 4096  # candidates of a block
 QUERY_BLOCK = 512
+CELLS = 64  # tasks that share the blocks, or one for each core if there are more
+CELL_BYTES = 128 << 20  # vectors of a cell
 LEADING = 4  # one in so many rotated coordinates is in the partial sum
 STEP = 256  # candidates that are looked at together
 EXACT = 2.0**52
@@ -60,11 +65,11 @@ def _matrix(column: pa.Array, rows: int) -> np.ndarray:
 
 def rotation(vectors: DataFrame) -> np.ndarray:
     """The right singular vectors, greatest singular value first, as columns."""
-    sums = vectors.select("v").mapInArrow(_gram, "i long, j long, s double").groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
-    d = max((r.i for r in sums), default=-1) + 1
+    parts = vectors.select("v").mapInArrow(_gram, "i long, j long, s double")
+    i, j, sums = (c.to_numpy() for c in parts.groupBy("i", "j").agg(F.sum("s").alias("s")).toArrow().columns)
+    d = int(i.max(initial=-1)) + 1
     gram = np.zeros((d, d))
-    for r in sums:
-        gram[r.i, r.j] = r.s
+    gram[i, j] = sums
     peak = np.abs(gram).max() if d else 0
     if not np.isfinite(peak) or not peak:
         return np.eye(d)
@@ -72,15 +77,17 @@ def rotation(vectors: DataFrame) -> np.ndarray:
 
 
 def _pack(kind: str, size: int):
-    """Rows (id, vector, score to reach) of a partition, in its order, become one row for each ``size`` of them."""
+    """Rows (id, vector, score to reach) of a partition, in its order, become one numbered row for each ``size`` of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        numbers = count()
 
         def row() -> pa.RecordBatch:
             data = [np.concatenate([h[i] for h in held]).astype(t).tobytes() for i, t in ((0, "<i8"), (1, "<f8"))]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in data], names=[f"{kind}_ids", f"{kind}_data"])
+            columns = [pa.array([next(numbers)], pa.int32()), *(pa.array([x], pa.binary()) for x in data)]
+            return pa.RecordBatch.from_arrays(columns, names=["nth", f"{kind}_ids", f"{kind}_data"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -115,67 +122,115 @@ def _exact(queries: np.ndarray, cands: np.ndarray) -> np.ndarray:
     return _saturated(whole[0].dot(whole[1].T))
 
 
+class Block:
+    """Candidates in descending length, with what the bounds need of them."""
+
+    def __init__(self, ids: np.ndarray, cands: np.ndarray, basis: np.ndarray):
+        length = np.linalg.norm(cands, axis=1)
+        order = np.lexsort((ids, -length))
+        self.ids, self.cands, self.length = ids[order], cands[order], length[order]
+        self.lead, self.rest = _turned(self.cands, basis)
+
+
+def _turned(vectors: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The leading rotated coordinates, and the lengths of the others."""
+    lead = max(1, vectors.shape[1] // LEADING)
+    turned = vectors @ basis
+    return turned[:, :lead].copy(), np.linalg.norm(turned[:, lead:], axis=1)
+
+
+class Best:
+    """The k best of each query among the blocks it has met."""
+
+    def __init__(self, ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, basis: np.ndarray, k: int):
+        self.ids, self.queries, self.k = ids, queries, k
+        self.length = np.linalg.norm(queries, axis=1)
+        self.lead, self.rest = _turned(queries, basis)
+        self.bar = floor.astype(np.float64)
+        self.found_ids = np.full((len(ids), k), np.iinfo(np.int64).max)
+        self.found = np.full((len(ids), k), np.iinfo(np.int64).min)
+        self.filled = np.zeros(len(ids), np.int64)
+
+    def meet(self, block: Block) -> None:
+        for a in range(0, len(block.ids), STEP):
+            b = min(len(block.ids), a + STEP)
+            # 1e-9 of the product of the lengths is far above the rounding error of these sums.
+            live = np.flatnonzero(self.length * block.length[a] * (1 + 1e-9) + 1 >= self.bar)
+            if not len(live):
+                break
+            bound = self.lead[live] @ block.lead[a:b].T + self.rest[live, None] * block.rest[None, a:b]
+            slack = 1e-9 * self.length[live, None] * block.length[None, a:b] + 1
+            keep = (bound + slack >= self.bar[live, None]) & (self.ids[live, None] != block.ids[None, a:b])
+            rows, cols = np.flatnonzero(keep.any(1)), np.flatnonzero(keep.any(0))
+            if not len(rows):
+                continue
+            keep, who, c_ids = keep[np.ix_(rows, cols)], live[rows], block.ids[a:b][cols]
+            scores = _exact(self.queries[who], block.cands[a:b][cols])
+            last, last_id = self.found[who, -1:], self.found_ids[who, -1:]
+            ahead = (scores > last) | (scores == last) & (c_ids < last_id) | (self.filled[who] < self.k)[:, None]
+            keep &= ahead & (scores >= self.bar[who, None])
+            for i in np.flatnonzero(keep.any(1)):
+                self._merge(who[i], scores[i][keep[i]], c_ids[keep[i]])
+
+    def _merge(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
+        n = self.filled[q]
+        s, ids = np.concatenate([self.found[q, :n], scores]), np.concatenate([self.found_ids[q, :n], ids])
+        top = np.lexsort((ids, ~s))[: self.k]  # ~s falls as s rises and cannot overflow
+        self.filled[q] = n = len(top)
+        self.found[q, :n], self.found_ids[q, :n] = s[top], ids[top]
+        if n == self.k:
+            self.bar[q] = max(self.bar[q], float(self.found[q, -1]))
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, vector, score) of what was found."""
+        has = np.arange(self.k)[None, :] < self.filled[:, None]
+        return np.repeat(self.ids, self.filled), self.found_ids[has], self.found[has]
+
+
 def best(q_ids, queries, floor, c_ids, cands, basis, k) -> list[tuple[int, int, int]]:
     """(query, vector, score) of the candidates of a block that can be among the k best of each query."""
-    d = queries.shape[1]
-    lead = max(1, d // LEADING)
-    length = np.linalg.norm(cands, axis=1)
-    order = np.lexsort((c_ids, -length))
-    c_ids, cands, length = c_ids[order], cands[order], length[order]
-    q_length = np.linalg.norm(queries, axis=1)
-    q_turned, c_turned = queries @ basis, cands @ basis
-    q_rest, c_rest = np.linalg.norm(q_turned[:, lead:], axis=1), np.linalg.norm(c_turned[:, lead:], axis=1)
-    bar = floor.astype(np.float64)
-    found_ids = np.full((len(q_ids), k), np.iinfo(np.int64).max)
-    found = np.full((len(q_ids), k), np.iinfo(np.int64).min)
-    filled = np.zeros(len(q_ids), np.int64)
-    for a in range(0, len(cands), STEP):
-        b = min(len(cands), a + STEP)
-        # 1e-9 of the product of the lengths is far above the rounding error of these sums.
-        live = np.flatnonzero(q_length * length[a] * (1 + 1e-9) + 1 >= bar)
-        if not len(live):
-            break
-        bound = q_turned[live, :lead] @ c_turned[a:b, :lead].T + q_rest[live, None] * c_rest[None, a:b]
-        slack = 1e-9 * q_length[live, None] * length[None, a:b] + 1
-        keep = (bound + slack >= bar[live, None]) & (q_ids[live, None] != c_ids[None, a:b])
-        rows, cols = np.flatnonzero(keep.any(1)), np.flatnonzero(keep.any(0))
-        if not len(rows):
-            continue
-        keep, who = keep[np.ix_(rows, cols)], live[rows]
-        scores = _exact(queries[who], cands[a:b][cols])
-        for i, q in enumerate(who):
-            s, ids = scores[i][keep[i]], c_ids[a:b][cols][keep[i]]
-            have = found[q, : filled[q]], found_ids[q, : filled[q]]
-            s, ids = np.concatenate([have[0], s]), np.concatenate([have[1], ids])
-            top = np.lexsort((ids, ~s))[:k]  # ~s falls as s rises and cannot overflow
-            filled[q] = len(top)
-            found[q, : len(top)], found_ids[q, : len(top)] = s[top], ids[top]
-            if len(top) == k:
-                bar[q] = max(bar[q], float(found[q, k - 1]))
-    return [(int(q_ids[q]), int(found_ids[q, j]), int(found[q, j])) for q in range(len(q_ids)) for j in range(filled[q])]
+    asked = Best(q_ids, queries, floor, basis, k)
+    asked.meet(Block(c_ids, cands, basis))
+    return list(zip(*(x.tolist() for x in asked.rows())))
 
 
 def _meet(basis: np.ndarray, k: int):
-    def run(pairs: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, int]] = []
-        for row in pairs.to_pylist():
-            q_ids, c_ids = (np.frombuffer(row[n], "<i8") for n in ("query_ids", "cand_ids"))
-            asked, cands = (np.frombuffer(row[n], "<f8").reshape(len(i), -1) for n, i in (("query_data", q_ids), ("cand_data", c_ids)))
-            out += best(q_ids, asked[:, :-1], asked[:, -1], c_ids, cands, basis, k)
-        return pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("query_id", "vec_id", "score"), zip(*out) if out else [[]] * 3)})
+    """Rows (cell, whether queries, number, ids, data) in this order: the candidates of a cell are held, the queries pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            for cell, asks, _, ids, data in zip(*batch.columns):
+                if cell.as_py() != at:
+                    at, held = cell.as_py(), []
+                ids = np.frombuffer(ids.as_buffer(), "<i8")
+                data = np.frombuffer(data.as_buffer(), "<f8").reshape(len(ids), -1)
+                if not asks.as_py():
+                    held.append(Block(ids, data, basis))
+                elif held:
+                    asked = Best(ids, data[:, :-1].copy(), data[:, -1], basis, k)
+                    for block in held:
+                        asked.meet(block)
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in asked.rows()], names=["query_id", "vec_id", "score"])
 
     return run
 
 
-def _meetings(asked: DataFrame, packs: DataFrame, blocks: int, basis: np.ndarray, k: int) -> DataFrame:
-    """The best of each (block of queries, pack of candidates). A group of the grouped map is one such pair."""
-    copies = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pairs = copies.join(packs, "block").withColumns({"asked": F.xxhash64("query_ids"), "pack": F.xxhash64("cand_ids")})
-    found = pairs.groupBy("block", "asked", "pack").applyInArrow(_meet(basis, k), "query_id long, vec_id long, score long")
+def _meetings(asked: DataFrame, packs: DataFrame, cells: int, basis: np.ndarray, k: int) -> DataFrame:
+    """The best of each query among the packs of candidates that have a ``cell`` in common with its pack."""
+    held = packs.select("cell", F.lit(False).alias("asks"), "nth", "cand_ids", "cand_data")
+    both = held.union(asked.select("cell", F.lit(True), "nth", "query_ids", "query_data"))
+    # One exchange of both sides: a join might be planned as a broadcast from a size that ``explode`` has outgrown.
+    dealt = both.repartitionById(cells, "cell").sortWithinPartitions("cell", "asks", "nth")
+    found = dealt.mapInArrow(_meet(basis, k), "query_id long, vec_id long, score long")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
 
 
+def _everywhere(packs: DataFrame, cells: int) -> DataFrame:
+    return packs.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
+
+
 def top_k(
     vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vec_col: str = "embedding"
 ) -> DataFrame:
@@ -190,22 +245,30 @@ def top_k(
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     basis = rotation(rows)
     blocks, asking = -(-total // BLOCK), -(-n_asked // QUERY_BLOCK)
+    cells = max(CELLS, vectors.sparkSession.sparkContext.defaultParallelism, -(-total * 8 * len(basis) // CELL_BYTES))
+    cells = min(cells, blocks)
     # Equal lengths are dealt by a hash, so every range gets about as many rows.
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     packs = (
-        rows.repartitionByRange(blocks, length.desc(), F.xxhash64("vec_id"))
+        rows.repartitionByRange(cells, length.desc(), F.xxhash64("vec_id"))
         .sortWithinPartitions(length.desc(), "vec_id")
-        .mapInArrow(_pack("cand", BLOCK), "cand_ids binary, cand_data binary")
+        .mapInArrow(_pack("cand", BLOCK), "nth int, cand_ids binary, cand_data binary")
         .withColumn("block", F.spark_partition_id())
     )
     packs = materialize(packs, "topk-packs")
 
+    # A range is a cell; what one has beyond its share of blocks (rows that no key tells apart) goes to the next ones.
+    share = -(-blocks // cells) + 1
+    dealt = packs.withColumn("cell", ((F.col("block") + F.floor(F.col("nth") / share)) % cells).cast("int"))
+
     def packed(rows: DataFrame) -> DataFrame:
-        return rows.repartition(asking, "vec_id").mapInArrow(_pack("query", QUERY_BLOCK), "query_ids binary, query_data binary")
+        schema = "nth int, query_ids binary, query_data binary"
+        return rows.repartition(asking, "vec_id").mapInArrow(_pack("query", QUERY_BLOCK), schema)
 
     nothing = F.lit(float("-inf"))
-    first = _meetings(packed(asked.withColumn("bar", nothing)), packs.where("block = 0"), 1, basis, k)
+    some = packed(asked.withColumn("bar", nothing)).withColumn("cell", F.spark_partition_id() % asking)
+    first = _meetings(some, _everywhere(packs.where("block = 0 and nth = 0"), asking), asking, basis, k)
     reached = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("bar"))
     asked = asked.join(reached, "vec_id", "left").withColumn("bar", F.coalesce("bar", nothing))
-    found = _meetings(packed(asked), packs, blocks, basis, k)
+    found = _meetings(_everywhere(packed(asked), cells), dealt, cells, basis, k)
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
